@@ -69,6 +69,11 @@ def distance(counts: Column, reference: tuple[float, ...]) -> Column:
     return F.when(total > 0, F.sqrt(F.greatest(terms / 2, zero))).otherwise(F.lit(1.0))
 
 
+def _settled(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """``df.select(*columns)``, computed once for a row: a generator keeps later filters and projections from repeating the expressions."""
+    return df.select(F.explode(F.array(F.struct(*columns))).alias("settled")).select("settled.*")
+
+
 def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept.
 
@@ -79,17 +84,19 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     raw = F.coalesce(docs[text], F.lit(""))
     held = docs.select(F.struct(*[docs[c] for c in docs.columns if c not in RESULTS]).alias("row"), raw.alias("text"))
-    step = held.withColumn("words", words_of(F.col("text")))
+    step = _settled(held, "row", "text", words_of(F.col("text")).alias("words"))
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    step = step.withColumns({"lines": lines, "windows": repeat_words(F.col("words"))}).withColumn("windows", F.sort_array("windows"))
+    step = _settled(step, "row", "text", "words", lines.alias("lines"), F.sort_array(repeat_words(F.col("words"))).alias("windows"))
     # A window counts if the one before or after it in the order has its hash.
     pairs = F.zip_with(F.slice("windows", 1, F.greatest(F.size("windows") - 1, F.lit(0))), F.slice("windows", 2, F.greatest(F.size("windows"), F.lit(1))), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], a["i"] + 1, a["i"] + 2, b["i"], b["i"] + 1, b["i"] + 2)))
     repeated = F.size(F.array_distinct(F.flatten(F.filter(pairs, lambda x: x.isNotNull()))))
     listed = list(dict.fromkeys(w for ws in COMMON_WORDS.values() for w in ws))
     codes = {w: chr(0x100 + i) for i, w in enumerate(listed)}
     lookup = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
-    common = F.array_join(F.transform("words", lambda w: F.coalesce(F.try_element_at(lookup, F.lower(w)), F.lit(""))), "")
-    out = step.select(
+    longest = max(map(len, listed))
+    common = F.array_join(F.transform(F.filter("words", lambda w: F.octet_length(w) <= longest), lambda w: F.coalesce(F.try_element_at(lookup, F.lower(w)), F.lit(""))), "")
+    out = _settled(
+        step,
         "row",
         F.size("words").cast("long").alias("n_words"),
         _kept_chars(F.col("text"), SPACE).alias("word_chars"),
@@ -100,8 +107,9 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     seen = [F.array(*[F.lit(codes[w]) for w in ws]) for ws in COMMON_WORDS.values()]
     counted = [F.transform(cs, lambda c: (F.length("common") - F.length(F.replace(F.col("common"), c, F.lit("")))).cast("double")) for cs in seen]
-    out = out.withColumn("by_language", F.array(*counted))
-    out = out.select(
+    out = _settled(out, "*", F.array(*counted).alias("by_language"))
+    out = _settled(
+        out,
         "*",
         F.array_min(F.array(*[distance(F.col("classes"), r) for r in CLASS_REFERENCES.values()])).alias("class_distance"),
         F.array_min(F.transform("by_language", lambda c: distance(c, (1.0,) * 16))).alias("word_distance"),
