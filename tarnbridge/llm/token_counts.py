@@ -58,7 +58,11 @@ class Prefixes:
         k = int(np.searchsorted(self.ends, end, side="right"))
         if k == len(self.spans) or end <= self.spans[k][0]:
             return int(self.sums[k])
-        return int(self.sums[k]) + self.encoder.whole(self.text[self.spans[k][0] : end])
+        start = self.spans[k][0]
+        # A part of a special string is ordinary text, which joins the word that it follows.
+        if k and self.spans[k - 1][1] == start and self.text[slice(*self.spans[k])] in self.encoder.special and self.text[slice(*self.spans[k - 1])] not in self.encoder.special:
+            k, start = k - 1, self.spans[k - 1][0]
+        return int(self.sums[k]) + self.encoder.whole(self.text[start:end])
 
     def longest(self, budget: int) -> int:
         """The length of the longest prefix of at most ``budget`` tokens."""
