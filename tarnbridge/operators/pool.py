@@ -1,0 +1,41 @@
+"""A pool of metadata connections on the driver: last in, first out, with limits on the idle ones."""
+
+from __future__ import annotations
+
+import threading
+import time
+
+from ..conninfo import BridgeError
+
+
+class Pool:
+    def __init__(self, connect, enabled: bool = True, max_idle: int = 0, idle_timeout_ms: int = 0, clock=time.monotonic):
+        if max_idle < 0 or idle_timeout_ms < 0:
+            raise BridgeError("pool_max_size and pool_idle_timeout_ms must be 0 or more")
+        self.connect, self.enabled, self.max_idle, self.timeout, self.clock = connect, enabled, max_idle, idle_timeout_ms / 1000, clock
+        self.idle: list[tuple[float, object]] = []
+        self.created = self.reused = self.discarded = 0
+        self.lock = threading.Lock()
+
+    def acquire(self):
+        with self.lock:
+            if self.timeout:
+                fresh = [x for x in self.idle if self.clock() - x[0] <= self.timeout]
+                self.discarded += len(self.idle) - len(fresh)
+                self.idle = fresh
+            if self.enabled and self.idle:
+                self.reused += 1
+                return self.idle.pop()[1]
+            self.created += 1
+        return self.connect()
+
+    def release(self, connection) -> None:
+        with self.lock:
+            if self.enabled and (not self.max_idle or len(self.idle) < self.max_idle):
+                self.idle.append((self.clock(), connection))
+            else:
+                self.discarded += 1
+
+    def stats(self, catalog: str) -> tuple:
+        with self.lock:
+            return (catalog, self.enabled, self.max_idle, int(self.timeout * 1000), len(self.idle), self.created, self.reused, self.discarded)

@@ -1,0 +1,37 @@
+"""The SQL that stands for a scan: for reports and telemetry, with a mark for every literal."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from ..functions.text import quote_ident
+
+
+@dataclass
+class ScanPlan:
+    table: str
+    columns: list[str]
+    pushed: list[str] = field(default_factory=list)
+    residual: list[str] = field(default_factory=list)
+    reasons: list[str] = field(default_factory=list)
+    order: list[str] = field(default_factory=list)
+    limit: int | None = None
+    offset: int | None = None
+
+    def rows_clause(self) -> str | None:
+        if self.limit is None:
+            return None
+        first = (self.offset or 0) + 1
+        return f"ROWS {first} TO {first + self.limit - 1}" if self.offset else f"ROWS {self.limit}"
+
+    def sql(self) -> str:
+        # A scan of no columns serves count(*): one typed null stands for the row.
+        names = ", ".join(map(quote_ident, self.columns)) or "CAST(NULL AS BIGINT)"
+        parts = [f"SELECT {names} FROM {quote_ident(self.table)}"]
+        if self.pushed:
+            parts.append("WHERE " + " AND ".join(self.pushed))
+        if self.order:
+            parts.append("ORDER BY " + ", ".join(map(quote_ident, self.order)))
+        if rows := self.rows_clause():
+            parts.append(rows)
+        return " ".join(parts)

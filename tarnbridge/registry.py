@@ -1,10 +1,239 @@
-def flagship(spark, d):
-    return spark.read.parquet(f"{d}/customer.parquet").groupBy("c_mktsegment").count()
+"""The registered queries over the sample tables, each with SQL for the same result where SQL has one."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-def oracle_sql():
-    return {}
+from .functions.charset import decoded
+from .functions.text import char_text, decfloat_text, like
+from .operators import diagnostics, metadata
+from .operators.bridge import Bridge
+from .plans.partition import ranges
+from .sources.dictionary import tpch
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_ORACLES: dict[str, str] = {}
+
+
+def attached(spark: SparkSession, folder: str, **options) -> Bridge:
+    bridge = Bridge(spark, query_log_size=20, **options)
+    bridge.attach(folder, "src", tpch(folder), dependencies=[("v_open_orders", 1, "orders", 0, "o_orderkey")], generators=[("GEN_ORDER", 1, None)], domains=[("D_PRICE", 16, 1, -2, 8, True, None, "CHECK (VALUE > 0)", None)])
+    return bridge
+
+
+def query(oracle: str | None = None):
+    """Registers a function of (bridge, folder) under its name."""
+
+    def add(f):
+        _QUERIES[f.__name__] = lambda spark, folder: f(attached(spark, folder), folder)
+        if oracle:
+            _ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def _simple(name: str, table: str, columns: list[str], where, sql: str) -> None:
+    _QUERIES[name] = lambda spark, folder: attached(spark, folder).scan("src", table, columns, where() if callable(where) else where)
+    _ORACLES[name] = f"SELECT {', '.join(columns)} FROM {table}" + (f" WHERE {sql}" if sql else "")
+
+
+def flagship(spark: SparkSession, folder: str) -> DataFrame:
+    return attached(spark, folder).scan("src", "customer", ["c_custkey", "c_mktsegment"]).groupBy("c_mktsegment").agg(F.count("*").alias("n"))
+
+
+_O = ["o_orderkey", "o_custkey", "o_totalprice"]
+_simple("scan_project", "orders", _O, None, "")
+_simple("f_eq_text", "orders", _O, "o_orderstatus = 'O'", "o_orderstatus = 'O'")
+_simple("f_eq_int", "orders", _O, "o_custkey = 7", "o_custkey = 7")
+_simple("f_range_double", "orders", _O, "o_totalprice >= 1000 AND o_totalprice < 50000", "o_totalprice >= 1000 AND o_totalprice < 50000")
+_simple("f_and_or", "orders", _O, "o_custkey < 50 AND (o_orderstatus = 'F' OR o_orderstatus = 'O')", "o_custkey < 50 AND o_orderstatus IN ('F', 'O')")
+_simple("f_date_ge", "orders", _O, "o_orderdate >= timestamp_ntz'1996-01-01 00:00:00'", "o_orderdate >= TIMESTAMP '1996-01-01'")
+_simple("f_in", "orders", _O, lambda: F.col("o_custkey").isin(1, 2, 3), "o_custkey IN (1, 2, 3)")
+_simple("f_in_empty", "orders", _O, lambda: F.col("o_custkey").isin([]), "false")
+_simple("f_not_in", "orders", _O, lambda: ~F.col("o_custkey").isin(1, 2, 3), "o_custkey NOT IN (1, 2, 3)")
+_simple("f_not_bool", "orders", _O, lambda: ~(F.col("o_orderstatus") == "O"), "NOT (o_orderstatus = 'O')")
+_simple("f_bool", "orders", _O, lambda: F.col("o_orderstatus") == "O", "o_orderstatus = 'O'")
+_simple("f_between", "orders", _O, lambda: F.col("o_orderkey").between(10, 500), "o_orderkey BETWEEN 10 AND 500")
+_simple("f_is_null", "orders", _O, "o_custkey IS NULL OR o_custkey < 20", "o_custkey IS NULL OR o_custkey < 20")
+_simple("f_like_prefix", "documents", ["doc_id", "lang"], lambda: like(F.col("text"), "The%"), "text LIKE 'The%'")
+_simple("f_like_inner", "documents", ["doc_id", "lang"], lambda: like(F.col("text"), "T%e_r%"), "text LIKE 'T%e_r%'")
+_simple("f_cast_residual", "orders", _O, "CAST(o_custkey AS string) = '3'", "CAST(o_custkey AS VARCHAR) = '3'")
+_simple("f_mod_residual", "orders", _O, "o_orderkey % 2 = 0", "o_orderkey % 2 = 0")
+
+
+@query("SELECT count(*) AS n FROM lineitem")
+def scan_count_star(b, _):
+    return b.scan("src", "lineitem").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'O'")
+def scan_view_active(b, _):
+    return b.scan("src", "v_open_orders")
+
+
+@query("SELECT c.c_custkey, count(*) AS n FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY c.c_custkey")
+def scan_view_heavy(b, _):
+    return b.scan("src", "v_customer_totals")
+
+
+@query("SELECT doc_id, text FROM documents")
+def cs_documents_roundtrip(b, _):
+    return b.scan("src", "documents").select("doc_id", decoded(F.encode("text", "UTF-8"), "strict", "text").alias("text"))
+
+
+@query("SELECT lang, count(*) AS n, sum(octet_length(encode(text)))::BIGINT AS n_chars FROM documents GROUP BY lang")
+def cs_win1252_lengths(b, _):
+    raw = decoded(F.encode("text", "UTF-8"), "win1252", "text")
+    return b.scan("src", "documents").groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length(raw)).alias("n_chars"))
+
+
+@query("SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price FROM orders")
+def t_decimal_width(b, _):
+    return b.scan("src", "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("price"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) LIKE '1%'")
+def t_decfloat_text(b, _):
+    return b.scan("src", "orders", where=decfloat_text(F.col("o_totalprice").cast("decimal(18,2)")).startswith("1")).select("o_orderkey")
+
+
+@query("SELECT c_custkey, rtrim(c_mktsegment || '   ') AS segment FROM customer")
+def t_char_rtrim(b, _):
+    return b.scan("src", "customer").select("c_custkey", char_text(F.concat("c_mktsegment", F.lit("   "))).alias("segment"))
+
+
+@query("SELECT o_orderkey, CAST(o_orderkey::HUGEINT * 100000000000000000000::HUGEINT AS VARCHAR) AS big FROM orders")
+def t_int128_text(b, _):
+    return b.scan("src", "orders").select("o_orderkey", (F.col("o_orderkey").cast("decimal(18,0)") * F.lit("100000000000000000000").cast("decimal(21,0)")).cast("decimal(38,0)").cast("string").alias("big"))
+
+
+def _ranges_sql(table: str, key: str, n: int) -> str:
+    bounds = f"(SELECT min({key}) AS lo, max({key}) AS hi FROM {table})"
+    return f"SELECT least(CASE " + " ".join(f"WHEN {key} < lo + (hi - lo + 1) * {i + 1} // {n} THEN {i}" for i in range(n)) + f" ELSE {n - 1} END, {n - 1})::INTEGER AS part, count(*) AS n, sum({key})::BIGINT AS key_sum FROM {table}, {bounds} GROUP BY 1"
+
+
+@query(_ranges_sql("orders", "o_orderkey", 4))
+def p_ranges_orders_4(b, _):
+    source = b.attached["src"]
+    return metadata.range_profile(b.scan("src", "orders"), "o_orderkey", ranges(*source.key_range(source.relation("orders")), 4))
+
+
+@query(_ranges_sql("labels", "doc_id", 4))
+def p_sparse_labels_4(b, _):
+    source = b.attached["src"]
+    return metadata.range_profile(b.scan("src", "labels"), "doc_id", ranges(*source.key_range(source.relation("labels")), 4))
+
+
+@query("SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS key_sum FROM orders")
+def p_invariance(b, folder):
+    return p_ranges_orders_4(b, folder).agg(F.sum("n").alias("n"), F.sum("key_sum").alias("key_sum"))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 50")
+def pg_pk_limit(b, _):
+    return b.scan("src", "orders", ["o_orderkey", "o_custkey"], row_limit=50)
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 20 OFFSET 100")
+def pg_pk_offset(b, _):
+    return b.scan("src", "orders", ["o_orderkey", "o_custkey"], row_limit=20, row_offset=100)
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderkey LIMIT 10 OFFSET 5")
+def pg_filter_then_slice(b, _):
+    return b.scan("src", "orders", ["o_orderkey", "o_custkey"], where="o_orderstatus = 'F'", row_limit=10, row_offset=5)
+
+
+@query("SELECT l_orderkey, l_linenumber FROM (SELECT * FROM lineitem ORDER BY ALL NULLS FIRST LIMIT 30 OFFSET 10)")
+def pg_no_pk_total_order(b, _):
+    return b.scan("src", "lineitem", ["l_orderkey", "l_linenumber"], row_limit=30, row_offset=10)
+
+
+@query("SELECT o_orderkey FROM orders LIMIT 0")
+def pg_past_end(b, _):
+    return b.scan("src", "orders", ["o_orderkey"], row_limit=5, row_offset=1_000_000_000)
+
+
+# Questions whose answer does not follow the tables (domains, generators, health and the like) are tested, not registered.
+_META = {f.__name__: f for f in (metadata.tables, metadata.columns, metadata.constraints, metadata.foreign_keys, metadata.indexes, metadata.attach_sql, metadata.dbt_sources, metadata.type_audit)}
+for _name, _f in _META.items():
+    _QUERIES[f"m_{_name}"] = lambda spark, folder, f=_f: f(attached(spark, folder), "src")
+
+for _table in ("customer", "lineitem", "conversations", "v_customer_totals"):
+    _QUERIES[f"d_profile_{_table}"] = lambda spark, folder, t=_table: diagnostics.profile_table(attached(spark, folder), f"src.main.{t}")
+_QUERIES["d_index_profile"] = lambda spark, folder: diagnostics.index_profile(attached(spark, folder), "src.main.orders")
+_QUERIES["d_explain"] = lambda spark, folder: diagnostics.explain_pushdown(attached(spark, folder), "src", "SELECT o_custkey FROM src_main_orders WHERE o_orderstatus = 'O' AND o_orderkey % 2 = 0")
+
+
+@query()
+def o_last_query(b, _):
+    b.scan("src", "orders", ["o_orderkey"], "o_orderstatus = 'O'")
+    return b.last_query().drop("bridge_time_us", "total_time_us")
+
+
+@query()
+def o_query_log(b, _):
+    b.scan("src", "orders", ["o_orderkey"])
+    b.scan("src", "customer", ["c_custkey"], row_limit=3)
+    return b.query_log().drop("bridge_time_us", "total_time_us")
+
+
+def _sql(name: str, spark_sql: str, oracle: str | None = None) -> None:
+    """A query in SQL over the alias's views; ``{t}`` stands for a table's prefix."""
+    _QUERIES[name] = lambda spark, folder: attached(spark, folder).sql(spark_sql.replace("{t}", "src_main_"))
+    _ORACLES[name] = (oracle or spark_sql).replace("{t}", "")
+
+
+_sql("j_inner", "SELECT o.o_orderkey, c.c_mktsegment FROM {t}orders o JOIN {t}customer c ON o.o_custkey = c.c_custkey")
+_sql("j_left_multi", "SELECT p.conv_id, p.turn, n.role AS next_role FROM {t}conversations p LEFT JOIN {t}conversations n ON n.conv_id = p.conv_id AND n.turn = p.turn + 1")
+_sql("j_self", "SELECT a.o_orderkey AS first_key, b.o_orderkey AS second_key FROM {t}orders a JOIN {t}orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey + 1 = b.o_orderkey")
+_sql("j_right_full", "SELECT d.doc_id AS doc_id, l.quality AS quality FROM {t}labels l FULL JOIN {t}documents d ON l.doc_id = d.doc_id")
+_sql("j_semi", "SELECT c_custkey FROM {t}customer c WHERE EXISTS (SELECT 1 FROM {t}orders o WHERE o.o_custkey = c.c_custkey)")
+_sql("j_anti", "SELECT c_custkey FROM {t}customer c WHERE NOT EXISTS (SELECT 1 FROM {t}orders o WHERE o.o_custkey = c.c_custkey)")
+_sql("a_group", "SELECT o_orderstatus, count(*) AS n, cast(round(sum(cast(o_totalprice AS decimal(18,2))), 2) AS double) AS total FROM {t}orders GROUP BY o_orderstatus")
+_sql("a_min_max", "SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM {t}orders")
+_sql("a_bool", "SELECT o_custkey, bool_and(o_totalprice > 1000) AS every_big, bool_or(o_totalprice > 100000) AS any_big FROM {t}orders GROUP BY o_custkey")
+_sql("a_distinct", "SELECT DISTINCT o_orderstatus, o_custkey FROM {t}orders")
+_sql("a_list", "SELECT o_custkey, array_join(sort_array(collect_list(o_orderstatus)), ',') AS statuses FROM {t}orders GROUP BY o_custkey", "SELECT o_custkey, string_agg(o_orderstatus, ',' ORDER BY o_orderstatus) AS statuses FROM orders GROUP BY o_custkey")
+_sql("a_month_rollup", "SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, count(*) AS n FROM {t}orders GROUP BY year(o_orderdate), month(o_orderdate)", "SELECT year(o_orderdate)::INTEGER AS y, month(o_orderdate)::INTEGER AS m, count(*) AS n FROM orders GROUP BY 1, 2")
+_sql("a_having_distinct", "SELECT o_custkey, count(DISTINCT o_orderstatus) AS n FROM {t}orders GROUP BY o_custkey HAVING count(DISTINCT o_orderstatus) > 1")
+_sql("w_row_number", "SELECT o_orderkey, cast(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS bigint) AS rn FROM {t}orders")
+_sql("w_lag_sum", "SELECT o_orderkey, lag(o_orderkey) OVER w AS prev, cast(sum(o_orderkey) OVER w AS bigint) AS running FROM {t}orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)")
+_sql("s_union_all", "SELECT c_custkey AS k FROM {t}customer UNION ALL SELECT o_custkey AS k FROM {t}orders")
+_sql("s_intersect", "SELECT c_custkey AS k FROM {t}customer INTERSECT SELECT o_custkey AS k FROM {t}orders")
+_sql("s_except", "SELECT c_custkey AS k FROM {t}customer EXCEPT SELECT o_custkey AS k FROM {t}orders")
+_sql("q_cte", "WITH big AS (SELECT o_custkey, count(*) AS n FROM {t}orders GROUP BY o_custkey) SELECT c.c_mktsegment, count(*) AS n FROM big JOIN {t}customer c ON c.c_custkey = big.o_custkey WHERE big.n > 2 GROUP BY c.c_mktsegment")
+_sql("q_scalar_subquery", "SELECT o_orderkey FROM {t}orders WHERE o_totalprice > (SELECT max(o_totalprice) * 0.9 FROM {t}orders)")
+_sql("q_case_alias", "SELECT o_orderkey, CASE WHEN o_totalprice > 100000 THEN 'big' ELSE 'small' END AS size_class FROM {t}orders")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey < 1000 UNION ALL SELECT o_orderkey, o_custkey + 1 FROM orders WHERE o_orderkey >= 1000")
+def k_incremental_refresh(b, _):
+    """A snapshot refreshed for the rows of a recent window: old rows outside it, new rows inside."""
+    rows = b.scan("src", "orders", ["o_orderkey", "o_custkey"])
+    fresh = rows.filter("o_orderkey >= 1000").withColumn("o_custkey", F.col("o_custkey") + 1)
+    return rows.join(fresh.select("o_orderkey"), "o_orderkey", "left_anti").unionByName(fresh)
+
+
+@query("SELECT o_custkey, max(o_orderkey) AS o_orderkey FROM orders GROUP BY o_custkey")
+def w_latest_order(b, _):
+    return metadata.latest(b.scan("src", "orders", ["o_custkey", "o_orderkey"]), "o_custkey", "o_orderkey")
+
+
+@query("SELECT e.event_id, (SELECT max(p.event_id) FROM events p WHERE p.user_id = e.user_id AND p.event_id < e.event_id) AS prev_event FROM events e")
+def j_asof_previous(b, _):
+    """The event before each one of the same user: an as-of join of a table with itself by a window."""
+    events = b.scan("src", "events")
+    return events.select("event_id", F.lag("event_id").over(Window.partitionBy("user_id").orderBy("event_id")).alias("prev_event"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_ORACLES)
