@@ -13,8 +13,8 @@ import re
 
 import numpy as np
 
-#: Different words that a worker keeps; it starts anew beyond that.
-CACHE_WORDS = 400_000
+#: Different words in each of the two generations that a worker keeps: beyond that the older one goes, but for the words used since.
+CACHE_WORDS = 500_000
 
 _TWO_SPACES = re.compile(r"\s\s")
 #: Python counts these as white space; the libraries' patterns do not.
@@ -44,7 +44,7 @@ class ByteLevelIds:
     """
 
     def __init__(self, path: str):
-        self.tok, self.words = tokenizer(path), {}
+        self.tok, self.words, self.before = tokenizer(path), {}, {}
         self.special = specials(path)
         if self.tok.get_vocab_size() > 65_536:
             raise ValueError("ids must fit 16 bits")
@@ -53,9 +53,9 @@ class ByteLevelIds:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words, cut, new = self.words, [], {}
-        if len(words) > CACHE_WORDS:
-            words.clear()
+        if len(self.words) > CACHE_WORDS:
+            self.before, self.words = self.words, {}
+        words, before, cut, new = self.words, self.before, [], {}
         for text in texts:
             if not text or _TWO_SPACES.search(text) or text[0].isspace() or text[-1].isspace() or any(s in text for s in self.special):
                 cut.append(None)
@@ -64,7 +64,10 @@ class ByteLevelIds:
             cut.append(parts)
             for w in parts[1:]:
                 if w not in words:
-                    new[w] = None
+                    if w in before:
+                        words[w] = before[w]
+                    else:
+                        new[w] = None
         if new:
             found = self.tok.encode([" " + w for w in new], is_pretokenized=True, add_special_tokens=False)
             ids, at = np.array(found.ids, "<u2"), np.array(found.word_ids, np.int64)
@@ -80,7 +83,7 @@ class WordCounts:
     """Token counts of a vocabulary that drops white space, for each word of a text."""
 
     def __init__(self, path: str):
-        self.tok, self.counts = tokenizer(path), {}
+        self.tok, self.counts, self.before = tokenizer(path), {}, {}
         self.special = specials(path)
 
     def whole(self, text: str) -> int:
@@ -91,9 +94,11 @@ class WordCounts:
         return not (_SEPARATORS.search(text) or any(s in text for s in self.special))
 
     def learn(self, words) -> dict[str, int]:
+        words = set(words)
         if len(self.counts) > CACHE_WORDS:
-            self.counts.clear()
-        if new := list({w for w in words if w not in self.counts}):
+            self.before, self.counts = self.counts, {}
+        self.counts.update((w, self.before[w]) for w in words if w not in self.counts and w in self.before)
+        if new := [w for w in words if w not in self.counts]:
             found = self.tok.encode(new, is_pretokenized=True, add_special_tokens=False)
             n = np.bincount(np.array(found.word_ids, np.int64), minlength=len(new))
             self.counts.update(zip(new, n.tolist(), strict=True))
