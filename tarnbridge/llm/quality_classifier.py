@@ -71,6 +71,7 @@ def fit(rows: list[tuple[list[bytes], int]], epochs: int = 10, size: int = 48, r
     m, rng = initial(seed), np.random.default_rng(seed)
     if not rows:
         return m
+    epochs = max(epochs, 250 * size // len(rows))  # few rows need more passes
     xs = [np.concatenate([chunks(b[:CHUNK])[:1] for b in (bs or [b""])]) for bs, _ in rows]
     ys = np.array([y for _, y in rows], np.float32)
     first, second, step = {k: np.zeros_like(v) for k, v in m.items()}, {k: np.zeros_like(v) for k, v in m.items()}, 0
