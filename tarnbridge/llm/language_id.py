@@ -138,7 +138,10 @@ def fit_languages(docs: DataFrame, learn_from=None, doc_id: str = "doc_id", text
     known = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), docs[lang].alias("lang")).filter("lang is not null and text is not null")
     if learn_from is not None:
         known = known.filter(learn_from)
-    found = sample(known.select("doc_id", "lang", byte_windows(F.lower("text"), FIT_WINDOWS, FIT_WINDOW).alias("x")), rows).collect()
+    # The rows are drawn before any text is read; repeated identifiers are drawn again after the join.
+    drawn = sample(known.select("doc_id").distinct(), rows)
+    texts = sample(known.join(F.broadcast(drawn), "doc_id"), rows)
+    found = texts.select("doc_id", "lang", byte_windows(F.lower("text"), FIT_WINDOWS, FIT_WINDOW).alias("x")).collect()
     langs = sorted({r.lang for r in found})
     rows_ = [([bytes(b) for b in r.x], langs.index(r.lang)) for r in sorted(found, key=lambda r: (r.doc_id, r.lang))]
     return fit(rows_, max(1, len(langs))), langs
