@@ -25,6 +25,7 @@ MARK = "▁"
 GROUP_CHARS = 400_000
 
 _STAND_IN = chr(0x10FFFF)
+_TABLE_BITS = 21
 _loaded: dict = {}
 
 
@@ -60,12 +61,23 @@ class Pieces:
         sort = np.argsort(keys)
         values = np.array(list(merges.values()), np.int64).reshape(-1, 2)[sort]
         self.keys, self.rank, self.merged = keys[sort], values[:, 0], values[:, 1]
+        # The place of each key by its hash: -1 for none, -2 for several.
+        slots = self._slots(self.keys)
+        self.table = np.full(1 << _TABLE_BITS, -1, np.int32)
+        self.table[slots] = np.arange(len(slots))
+        self.table[np.flatnonzero(np.bincount(slots, minlength=1 << _TABLE_BITS) > 1)] = -2
+
+    @staticmethod
+    def _slots(keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(U) * U(0x9E3779B97F4A7C15)) >> U(64 - _TABLE_BITS)).astype(np.int64)
 
     def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The merge of each pair of symbols, or -1."""
         key = np.where((a < self.size) & (b < self.size), a * self.size + b, -1)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, at, -1)
+        at = self.table[self._slots(key)].astype(np.int64)
+        several = np.flatnonzero(at == -2)
+        at[several] = np.minimum(np.searchsorted(self.keys, key[several]), len(self.keys) - 1)
+        return np.where((at >= 0) & (self.keys[at] == key), at, -1)
 
 
 def pieces(path: str) -> Pieces:
