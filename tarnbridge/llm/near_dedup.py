@@ -10,15 +10,17 @@ Document frequencies are counted over all documents, in a table of a fixed numbe
 hashed buckets, so what tasks receive has a fixed size. Texts with the same words
 are one node. A band's bucket may hold any number of nodes, so its nodes are not
 paired with each other: all are compared with one pivot, which buckets choose in one
-of ORDERS orders, so that a node meets a few pivots. What is not joined to its
+of ORDERS orders, so that a node meets a few pivots, and then with the node that has
+the largest share of shingles which many nodes have. What is not joined to its
 pivot's component is compared with a sample of the bucket's nodes in other
 components, which grows by GROWTH each round until it is the whole bucket. So every
 bucket's pairs are decided, without a cap, while nodes of a large class are joined
-after a few comparisons. Pairs that cannot be similar are never compared: the smaller
-sum of weights over the larger bounds the similarity, and one minus the similarity is
-a metric, so distances to the same pivot must not differ by more than the threshold allows;
-shingles that no other node of the open buckets has bound the similarity of a node, too;
-and at least AGREE of the 64 samples must agree in four bits. A pair of similarity 0.8
+after a few comparisons. Nodes that share a rare shingle, one that at most RARE nodes
+of the open buckets have, are compared directly; for all other pairs rare shingles
+count as not shared, which bounds their similarity. Pairs that cannot be similar are
+never compared: the smaller sum of weights over the larger bounds the similarity, too;
+one minus the similarity is a metric, so distances to the same pivot must not differ
+by more than the threshold allows; and at least AGREE of the 64 samples must agree in four bits. A pair of similarity 0.8
 fails the last in about one case of 9,000, and shares no band in two of 10,000; the
 other bounds are exact.
 """
@@ -41,8 +43,10 @@ SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 16, 4
 BUCKETS = 1 << 18
 #: Random variates that the samples draw from, by bits of a shingle's hash.
 DRAWS = 1 << 16
-#: Orders that pivots are chosen by, and the nodes of a bucket that a node meets in the first round after, and the growth by round.
-ORDERS, FIRST, GROWTH = 4, 4, 32
+#: Orders that pivots are chosen by, and the nodes of a bucket that a node meets in the first round of samples, and the growth by round.
+ORDERS, FIRST, GROWTH = 4, 64, 64
+#: Nodes that may have a rare shingle: whoever shares one is compared directly.
+RARE = 3
 #: Samples of 64 that must agree in their lowest BITS bits before two texts are compared.
 AGREE, BITS = 41, 4
 
@@ -185,8 +189,8 @@ def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(run, schema)
 
 
-def lone_weights(texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(nid, lone): the weight of each node's shingles that no other of the nodes has."""
+def rare_shingles(texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """(nodes, weight): each set of at most RARE nodes that alone have some shingles, and these shingles' least weights in sum."""
     schema, kind = arrow("nid long, items array<struct<s:long,w:double>>")
 
     def run(batches):
@@ -195,8 +199,10 @@ def lone_weights(texts: DataFrame, idf: np.ndarray) -> DataFrame:
             yield batch(kind, nid=nids, items=items)
 
     each = texts.select("nid", "norm").mapInArrow(run, schema).select("nid", F.inline("items"))
-    lone = each.groupBy("s").agg(F.count("*").alias("n"), F.min("nid").alias("nid"), F.min("w").alias("w")).filter("n = 1")
-    return lone.groupBy("nid").agg(F.sum("w").alias("lone"))
+    # Three nodes follow from the smallest, the largest and the exclusive or of all, so that no group is collected.
+    by_s = each.groupBy("s").agg(F.count("*").alias("n"), F.min("nid").alias("lo"), F.max("nid").alias("hi"), F.bit_xor("nid").alias("x"), F.min("w").alias("w")).filter(F.col("n") <= RARE)
+    third = F.when(F.col("n") == 3, F.col("x").bitwiseXOR(F.col("lo")).bitwiseXOR(F.col("hi")))
+    return by_s.groupBy("lo", third.alias("mid"), "hi").agg(F.sum("w").alias("weight")).select(F.array_compact(F.array_distinct(F.array("lo", "mid", "hi"))).alias("nodes"), "weight")
 
 
 def _nodes(docs: DataFrame, doc_id: str, text: str, threshold: float):
@@ -227,30 +233,42 @@ def _nodes(docs: DataFrame, doc_id: str, text: str, threshold: float):
     to_pivot = known.select(F.col("a").alias("nid"), F.col("b").alias("pivot"), "sim")
     placed = stored(entries.join(to_pivot, ["nid", "pivot"], "left").select("key", "nid", "sketch", "pivot", "n", F.when(F.col("nid") == F.col("pivot"), 1.0).otherwise(F.col("sim")).alias("sim")), "placed")
     joined = components(known.filter(F.col("sim") >= threshold).select("a", "b"))
-    most, lone = 0, None
+    most, rare = 0, None
     while True:
         own = joined.select(F.col("node").alias("nid"), F.col("root").alias("own"))
         main = joined.select(F.col("node").alias("pivot"), F.col("root").alias("main"))
         # Buckets that the last round compared whole are decided.
         open_ = placed.filter(F.col("n") > most) if most else placed
         now = open_.join(own, "nid", "left").join(main, "pivot", "left").select("key", "nid", "sketch", "sim", "n", F.coalesce("own", "nid").alias("own"), F.coalesce("main", "pivot").alias("main"))
-        if lone is None:
+        first = rare is None
+        if first:
             partners = now.join(now.filter("own <> main").select("key").distinct(), "key", "left_semi").select("nid").distinct()
-            lone = stored(lone_weights(texts.join(partners, "nid", "left_semi"), idf), "lone")
-        # The weight that a node can share with any other, with room for rounding.
+            rare = stored(rare_shingles(texts.join(partners, "nid", "left_semi"), idf), "rare")
+            lone = stored(rare.select(F.explode("nodes").alias("nid"), "weight").groupBy("nid").agg(F.sum("weight").alias("lone")), "lone")
+        # The weight that a node can share with any other but those that it shares rare shingles with, with room for rounding.
         now = now.join(lone, "nid", "left").withColumn("common", F.col("sketch.weight") * (1 + 1e-6) - F.coalesce("lone", F.lit(0.0))).drop("lone")
         now = now.filter(F.col("common") >= threshold * F.col("sketch.weight"))
         apart = stored(now.filter("own <> main").select("key", F.col("nid").alias("q"), F.col("sketch").alias("q_sketch"), F.col("sim").alias("q_sim"), F.col("own").alias("q_own"), F.col("common").alias("q_common")), "apart")
-        if not apart.limit(1).count():
+        if not first and not apart.limit(1).count():
             return signed, nodes, joined
-        most = most * GROWTH or FIRST
-        met = now.filter(F.pmod(F.xxhash64("nid"), F.col("n")) < most)
+        if first:
+            # The node with the largest share of common shingles is nearest to what a bucket's nodes have in common.
+            central = F.struct(F.col("common") / F.col("sketch.weight"), F.xxhash64("nid"))
+            met = now.groupBy("key").agg(F.max_by(F.struct("nid", "sketch", "sim", "own", "common"), central).alias("hub")).select("key", "hub.*")
+        else:
+            most = most * GROWTH or FIRST
+            met = now.filter(F.pmod(F.xxhash64("nid"), F.col("n")) < most)
         near = (F.col("own") != F.col("q_own")) & alike("sketch", "q_sketch") & F.coalesce(F.abs(F.col("sim") - F.col("q_sim")) <= 1 - threshold + 1e-6, F.lit(True))
         low = F.least("common", "q_common")
         near = near & (low >= threshold * (F.col("sketch.weight") + F.col("q_sketch.weight") - low))
-        ways = met.join(apart, "key").filter(near).select(F.greatest("nid", "q").alias("a"), F.least("nid", "q").alias("b")).distinct()
+        ways = met.join(apart, "key").filter(near).select(F.greatest("nid", "q").alias("a"), F.least("nid", "q").alias("b"))
+        if first:
+            two = rare.filter(F.size("nodes") > 1).select(F.explode(F.filter(F.array(*[F.struct(F.get("nodes", i).alias("b"), F.get("nodes", j).alias("a")) for i, j in ((0, 1), (0, 2), (1, 2))]), lambda x: x["a"].isNotNull())).alias("e")).select("e.a", "e.b").distinct()
+            at = nodes.join(own, "nid", "left").select("nid", "sketch", F.coalesce("own", "nid").alias("own"))
+            two = two.join(at.select(F.col("nid").alias("a"), "sketch", "own"), "a").join(at.select(F.col("nid").alias("b"), F.col("sketch").alias("q_sketch"), F.col("own").alias("q_own")), "b")
+            ways = ways.union(two.filter((F.col("own") != F.col("q_own")) & alike("sketch", "q_sketch")).select("a", "b"))
         decided = known.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        more = stored(verify(ways.join(decided, ["a", "b"], "left_anti"), texts, idf), "similarities")
+        more = stored(verify(ways.distinct().join(decided, ["a", "b"], "left_anti"), texts, idf), "similarities")
         known = known.unionByName(more)
         links = more.filter(F.col("sim") >= threshold).select("a", "b")
         if links.limit(1).count():
