@@ -233,6 +233,7 @@ def _nodes(docs: DataFrame, doc_id: str, text: str, threshold: float):
     to_pivot = known.select(F.col("a").alias("nid"), F.col("b").alias("pivot"), "sim")
     placed = stored(entries.join(to_pivot, ["nid", "pivot"], "left").select("key", "nid", "sketch", "pivot", "n", F.when(F.col("nid") == F.col("pivot"), 1.0).otherwise(F.col("sim")).alias("sim")), "placed")
     joined = components(known.filter(F.col("sim") >= threshold).select("a", "b"))
+    bands = nodes.select("nid", "bands")
     most, rare = 0, None
     while True:
         own = joined.select(F.col("node").alias("nid"), F.col("root").alias("own"))
@@ -261,7 +262,11 @@ def _nodes(docs: DataFrame, doc_id: str, text: str, threshold: float):
         near = (F.col("own") != F.col("q_own")) & alike("sketch", "q_sketch") & F.coalesce(F.abs(F.col("sim") - F.col("q_sim")) <= 1 - threshold + 1e-6, F.lit(True))
         low = F.least("common", "q_common")
         near = near & (low >= threshold * (F.col("sketch.weight") + F.col("q_sketch.weight") - low))
-        ways = met.join(apart, "key").filter(near).select(F.greatest("nid", "q").alias("a"), F.least("nid", "q").alias("b"))
+        if not first:
+            # A pair is made at its smallest shared key only; that bucket, too, is compared whole in the end.
+            met = met.join(apart.select("key").distinct(), "key", "left_semi").join(bands, "nid")
+            near = near & (F.col("key") == F.array_min(F.array_intersect("bands", "q_bands")))
+        ways = met.join(apart if first else apart.join(bands.toDF("q", "q_bands"), "q"), "key").filter(near).select(F.greatest("nid", "q").alias("a"), F.least("nid", "q").alias("b"))
         if first:
             two = rare.filter(F.size("nodes") > 1).select(F.explode(F.filter(F.array(*[F.struct(F.get("nodes", i).alias("b"), F.get("nodes", j).alias("a")) for i, j in ((0, 1), (0, 2), (1, 2))]), lambda x: x["a"].isNotNull())).alias("e")).select("e.a", "e.b").distinct()
             at = nodes.join(own, "nid", "left").select("nid", "sketch", F.coalesce("own", "nid").alias("own"))
