@@ -45,6 +45,8 @@ BUCKETS = 1 << 18
 DRAWS = 1 << 16
 #: Orders that pivots are chosen by, and the nodes of a bucket that a node meets in the first round of samples, and the growth by round.
 ORDERS, FIRST, GROWTH = 4, 64, 64
+#: Nodes of shared buckets, each of some 50 bytes, up to which they are broadcast to find their texts.
+FEW = 500_000
 #: Nodes that may have a rare shingle: whoever shares one is compared directly.
 RARE = 3
 #: Samples of 64 that must agree in their lowest BITS bits before two texts are compared.
@@ -219,7 +221,9 @@ def _nodes(docs: DataFrame, doc_id: str, text: str, threshold: float):
     entries = stored(entries.join(shared, "key").select("key", "nid", "sketch", "pivot", "p_sketch", "n"), "entries")
     needed = stored(nodes.join(entries.select("nid").distinct(), "nid", "left_semi").select("nid", "h", "first_id"), "needed")
     same = base["h"].eqNullSafe(needed["h"]) & base["doc_id"].eqNullSafe(needed["first_id"])
-    texts = stored(base.join(needed, same).select("nid", "norm").dropDuplicates(["nid"]), "texts")
+    # The few columns of needed nodes go to the tasks while there are few; beyond that, the texts are shuffled.
+    sought = F.broadcast(needed) if needed.count() <= FEW else needed
+    texts = stored(base.join(sought, same).select("nid", "norm").dropDuplicates(["nid"]), "texts")
 
     def alike(one: str, two: str) -> Column:
         differ = F.lit(0).cast("long")
