@@ -19,8 +19,8 @@ MIN_LANGUAGE_SCORE = 0.3
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality rules keep. A column named like one of the rules' results is not carried."""
-    return quality_rules.quality_rules(docs).filter("kept").select(*[c for c in docs.columns if c not in quality_rules.RESULTS])
+    """The documents that the quality rules find clean. A column named like one of the rules' results is not carried."""
+    return quality_rules.quality_rules(docs).filter("clean").select(*[c for c in docs.columns if c not in quality_rules.RESULTS])
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,10 @@ classes and its histogram of common words are compared with those of each langua
 reference by the Jensen-Shannon distance (square root of the divergence in bits).
 A text fails if its nearest reference is too far. A histogram with too few entries
 says little, so a guard on its size comes before each test.
+
+``kept`` guards the word test by the common words found, as the query's SQL states it.
+That exempts texts without common words, so ``clean`` also fails a text of
+MIN_WORDS words or more whose common words are too far, however few they are.
 """
 
 from __future__ import annotations
@@ -38,6 +42,8 @@ COMMON_WORDS = {
 MIN_CHARS, MIN_COMMON = 200, 40
 #: Distances beyond which a text fails.
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.80
+#: Words that a text needs for the word test of ``clean``.
+MIN_WORDS = 50
 
 
 def words_of(text: Column) -> Column:
@@ -75,7 +81,7 @@ def _settled(df: DataFrame, *columns: Column | str) -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept.
+    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept, clean.
 
     A word is a run of characters other than ASCII white space. A null text has no words, so
     it fails the base rules, as every text of fewer than 50 words does. Rows are judged one by
@@ -117,7 +123,8 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
         ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"),
     )
     far = ((F.col("word_chars") >= MIN_CHARS) & (F.col("class_distance") > MAX_CLASS_DISTANCE)) | ((F.col("n_common") >= MIN_COMMON) & (F.col("word_distance") > MAX_WORD_DISTANCE))
-    return out.select("row.*", "n_words", "word_chars", F.element_at("classes", 4).cast("long").alias("n_symbols"), "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", (~F.col("base_failed") & ~far).alias("kept"))
+    junk = (F.col("n_words") >= MIN_WORDS) & (F.col("word_distance") > MAX_WORD_DISTANCE)
+    return out.select("row.*", "n_words", "word_chars", F.element_at("classes", 4).cast("long").alias("n_symbols"), "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", (~F.col("base_failed") & ~far).alias("kept"), (~F.col("base_failed") & ~far & ~junk).alias("clean"))
 
 
-RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept")
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept", "clean")

@@ -188,6 +188,19 @@ def test_rules(odd, empty):
     assert (r.n_repeat_words, r.n_dup_lines, r.n_symbols, r.word_chars) == (6, 1, 3, 17)
 
 
+def test_rules_reject_long_texts_without_common_words(spark):
+    import corpus_pipeline
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    junk = [(-1, " ".join(f"ung{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)), None, None, None)]
+    both = docs.select("doc_id", "text", "lang", "source", "n_chars").union(spark.createDataFrame(junk, "doc_id long, text string, lang string, source string, n_chars int"))
+    rules = {r.doc_id: r for r in quality_rules.quality_rules(both).select("doc_id", "lang", "base_failed", "word_distance", "clean").collect()}
+    assert not rules[-1].base_failed and rules[-1].word_distance == 1 and not rules[-1].clean
+    assert corpus_pipeline.quality(spark, both, SF).filter("doc_id = -1").count() == 0
+    good = [rules[r.doc_id] for r in labels.filter("quality = 1").collect() if not rules[r.doc_id].base_failed]
+    assert {r.lang for r in good} == {"en", "fr", "de", "es"} and all(r.clean for r in good)
+
+
 def test_pieces(odd, empty):
     import sentencepiece
 
