@@ -201,6 +201,18 @@ def test_rules_reject_long_texts_without_common_words(spark):
     assert {r.lang for r in good} == {"en", "fr", "de", "es"} and all(r.clean for r in good)
 
 
+def test_rules_catch_symbols_on_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality_rules.quality_rules(docs).join(labels, "doc_id").filter(held_out() & ~F.col("base_failed")).select("quality", "symbol_distance", "clean").collect()
+    junk, good = ([r for r in rows if r.quality == y] for y in (0, 1))
+    assert junk and good and not any(r.clean for r in junk) and all(r.clean for r in good)
+    assert all(r.symbol_distance > quality_rules.MAX_SYMBOL_DISTANCE for r in junk)
+    words = spark.read.parquet(f"{SF}/documents.parquet").filter("lang = 'en' and n_chars > 2000").first().text.split()[:300]
+    mixed = " ".join(w + (" |" if i % 2 else "") for i, w in enumerate(words))
+    r = quality_rules.quality_rules(spark.createDataFrame([(1, mixed)], "doc_id long, text string")).first()
+    assert r.class_distance < quality_rules.MAX_CLASS_DISTANCE and not r.base_failed and r.kept and not r.clean
+
+
 def test_pieces(odd, empty):
     import sentencepiece
 
