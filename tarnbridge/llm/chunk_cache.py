@@ -16,6 +16,9 @@ import numpy as np
 #: Different words in each of the two generations that a worker keeps: beyond that the older one goes, but for the words used since.
 CACHE_WORDS = 500_000
 
+#: Longer words are not kept with the counts of their prefixes.
+LONG_WORD = 64
+
 _TWO_SPACES = re.compile(r"\s\s")
 #: Python counts these as white space; the libraries' patterns do not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -84,7 +87,29 @@ class WordCounts:
 
     def __init__(self, path: str):
         self.tok, self.counts, self.before = tokenizer(path), {}, {}
-        self.special = specials(path)
+        self.path, self.special, self.pieces = path, specials(path), None
+        self.inside, self.inside_before = {}, {}
+
+    def prefixes(self, words: list[str]) -> list:
+        """For each word the tokens of its prefixes of 1, 2, ... characters: as bytes, or as a list where they exceed 255."""
+        if self.pieces is None:
+            from .prefix_counts import PrefixCounts
+
+            self.pieces = PrefixCounts(self.path, self.tok)
+        if len(self.inside) > CACHE_WORDS:
+            self.inside_before, self.inside = self.inside, {}
+        inside, before, out = self.inside, self.inside_before, []
+        for w in words:
+            found = inside.get(w)
+            if found is None:
+                found = before.get(w)
+                if found is None:
+                    found = self.pieces.counts(w)
+                    found = bytes(found) if max(found) < 256 else found
+                if len(w) <= LONG_WORD:
+                    inside[w] = found
+            out.append(found)
+        return out
 
     def whole(self, text: str) -> int:
         return len(self.tok.encode(text, add_special_tokens=False).ids)

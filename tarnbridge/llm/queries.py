@@ -40,8 +40,8 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), WORD_BPE, budget=2048, prefixes=False)
-    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "cut_chars")
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), WORD_BPE, budget=2048)
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "cut_chars", F.crc32("prefix_tokens").alias("prefix_tokens_crc32"))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,6 +113,29 @@ def test_counts(odd, empty):
     assert token_counts.token_counts(empty, queries.WORD_BPE).count() == 0
 
 
+def test_counts_at_every_prefix(spark, odd):
+    rng = random.Random(6)
+    blob = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGH") for _ in range(60_000))
+    texts = ["extraordinarily", "they're we'll 'rest", "x<|endoftext|>y <|endoftext|", "e\u0301a\u030a\u1100\u1161\u11a8İΣ", "  ", "", blob]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counted = token_counts.token_counts(df, queries.WORD_BPE, budget=2).cache()
+    tok = WordCounts(queries.WORD_BPE)
+    for r in counted.collect():
+        t, got = texts[r.doc_id], np.frombuffer(r.prefix_tokens, ">u4").tolist()
+        assert len(got) == len(t) + 1 and got[-1] == r.n_tokens == tok.whole(t)
+        at = range(len(t) + 1) if len(t) < 100 else [0, 1, 29, 777, 59_999, 60_000]
+        assert [got[i] for i in at] == [tok.whole(t[:i]) for i in at]
+        assert r.cut_chars == max(i for i, n in enumerate(got) if n <= 2)
+    asked = counted.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(30))).alias("n"), "prefix_tokens").select("doc_id", "n", token_counts.tokens_at(F.col("n")).alias("tokens"))
+    assert all(r.tokens == tok.whole(texts[r.doc_id][: r.n]) for r in asked.collect())
+    few = token_counts.token_counts(odd, queries.WORD_BPE, budget=10, prefixes=False).collect()
+    assert [tuple(r) for r in few] == [tuple(r)[:4] for r in token_counts.token_counts(odd, queries.WORD_BPE, budget=10).collect()]
+    folder = scratch(spark, "test-counts")
+    df.write.parquet(f"{folder}/documents.parquet")
+    digests = {r.doc_id: r.prefix_tokens_crc32 for r in queries.op5_token_counts(spark, folder).collect()}
+    assert digests[0] == zlib.crc32(np.array([tok.whole(texts[0][:i]) for i in range(len(texts[0]) + 1)], ">u4").tobytes())
+
+
 def test_language(spark, odd, empty):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model, langs = language_id.fit_languages(docs, ~held_out())
