@@ -104,16 +104,19 @@ def fit(rows: list[tuple[list[bytes], int]], epochs: int = 10, size: int = 48, r
 def fit_quality(docs: DataFrame, labels: DataFrame, learn_from=None, doc_id: str = "doc_id", text: str = "text", label: str = "quality", rows: int = FIT_ROWS) -> dict:
     """Fits the network to at most ``rows`` labelled documents of each class, FIT_CHUNKS chunks of each.
 
-    ``learn_from`` is a condition on ``doc_id`` for the labels to use. The labels are drawn by
-    a hash before the texts are joined to them, so the broadcast holds 2 * rows rows at most.
+    ``learn_from`` is a condition on ``doc_id`` for the labels to use. Different labelled
+    identifiers are drawn by a hash before the texts are joined to them, so the broadcast holds
+    2 * rows rows at most. Rows that repeat an identifier count as one document, with the least
+    of their chunks in order, so no more rows than that come to the driver.
     Without labels the network gives 0.5 for every text.
     """
     known = labels.select(labels[doc_id].alias("doc_id"), labels[label].cast("int").alias("y")).filter("y in (0, 1)")
     if learn_from is not None:
         known = known.filter(learn_from)
+    known = known.distinct()
     drawn = sample(known.filter("y = 0"), rows).union(sample(known.filter("y = 1"), rows))
     texts = plain(docs, doc_id, text).join(F.broadcast(drawn), "doc_id")
-    found = texts.select("doc_id", "y", byte_windows(F.col("text"), FIT_CHUNKS, CHUNK).alias("x")).collect()
+    found = texts.groupBy("doc_id", "y").agg(F.min(byte_windows(F.col("text"), FIT_CHUNKS, CHUNK)).alias("x")).collect()
     return fit([([bytes(b) for b in r.x], r.y) for r in sorted(found, key=lambda r: (r.doc_id, r.y))])
 
 

@@ -64,6 +64,17 @@ def test_quality(spark, odd, empty):
     assert b"".join(c[: quality_classifier.CHUNK].tobytes() for c in cut)[: len(data)] == data
 
 
+def test_quality_sample_counts_documents(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)] + [(7, "text 7")] * 300, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(j, j % 2) for i in range(50) for j in range(20)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality_classifier, "fit", seen.append)
+    quality_classifier.fit_quality(docs, labels, rows=10)
+    quality_classifier.fit_quality(docs, labels, rows=100)
+    for (rows, n) in zip(seen, (10, 20), strict=True):
+        assert [sum(y == c for _, y in rows) for c in (0, 1)] == [n, n] and len({bytes(x[0]) for x, _ in rows}) == 2 * n
+
+
 def test_bpe_caches_match_library():
     ids, counts = ByteLevelIds(queries.BYTE_BPE), WordCounts(queries.WORD_BPE)
     random.seed(4)
