@@ -185,6 +185,42 @@ def test_near(spark, odd, empty):
     assert {r.class_id for r in rows if r.doc_id < 400} == {0} and all(r.kept for r in rows if r.doc_id >= 400)
 
 
+def test_near_against_all_pairs(spark):
+    """Classes of similarities from 0.6 to 1, a passage that all texts share, and buckets of more than 64 nodes."""
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(40)]
+    texts = []
+    for family in range(4):
+        base = [f"f{family}w{rng.randrange(3000)}" for _ in range(280)]
+        for i in range(90):
+            own = list(base)
+            for at in rng.sample(range(280), i // 9):
+                own[at] = f"e{family}x{i}x{at}"
+            texts.append(" ".join(passage + own))
+    texts += [" ".join(passage + [f"o{i}x{rng.randrange(9000)}" for _ in range(20)]) for i in range(90)]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], SCHEMA)
+    nodes = sorted(set(texts), key=texts.index)
+    norm = spark.createDataFrame([(t,) for t in texts], "norm string")
+    idf = near_dedup.inverse_frequencies(near_dedup.document_frequencies(norm))
+    words, sizes = hashing.word_hashes(nodes)
+    vectors = [near_dedup.vector(w, idf) for w in np.split(words, np.cumsum(sizes)[:-1])]
+    root, seen = {t: i for i, t in enumerate(nodes)}, []
+    for i in range(len(nodes)):
+        for j in range(i):
+            seen.append(s := near_dedup.similarity(vectors[i], vectors[j]))
+            if s >= near_dedup.THRESHOLD and root[nodes[i]] != root[nodes[j]]:
+                a, b = sorted((root[nodes[i]], root[nodes[j]]))
+                root = {t: a if r == b else r for t, r in root.items()}
+    assert all(sum(low <= s < low + 0.1 for s in seen) > 100 for low in (0.6, 0.7, 0.8, 0.9))
+    want: dict = {}
+    for i, t in enumerate(texts):
+        want.setdefault(root[t], set()).add(i)
+    got: dict = {}
+    for r in near_dedup.near_duplicates(df).collect():
+        got.setdefault(r.class_id, set()).add(r.doc_id)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values())) and len(want) > 5
+
+
 def test_sampling_agrees_like_weighted_jaccard():
     rng = np.random.default_rng(1)
     found = np.sort(hashing.mix(np.arange(400, dtype=np.uint64)))
