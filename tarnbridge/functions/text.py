@@ -45,10 +45,3 @@ def sanitized(message: str, secrets: tuple[str, ...] = ()) -> str:
     for secret in filter(None, secrets):
         message = message.replace(secret, "<redacted>")
     return _SECRET.sub(lambda m: f"{m[1]}=<redacted>" if m[1] else f"{m[2]}:<redacted>@", message)
-
-
-def redacted_bind(value, kind: str) -> str:
-    """A bound value as telemetry shows it: text never appears."""
-    if value is None:
-        return "<null>"
-    return "<text:redacted>" if kind in ("string", "binary") or isinstance(value, (str, bytes)) else str(value)

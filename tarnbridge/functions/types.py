@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..conninfo import BridgeError
+from .charset import decoded
+from .text import char_text, decfloat_text
 
 #: Dictionary codes of the source's types.
 SMALLINT, INTEGER, FLOAT, DATE, TIME, CHAR, BIGINT, BOOLEAN, DECFLOAT16, DECFLOAT34, INT128, DOUBLE, D_FLOAT, TIME_TZ, TIMESTAMP_TZ, TIME_TZ_EX, TIMESTAMP_TZ_EX, TIMESTAMP, VARCHAR, BLOB = 7, 8, 10, 12, 13, 14, 16, 23, 24, 25, 26, 27, 11, 28, 29, 30, 31, 35, 37, 261
@@ -32,6 +36,30 @@ def spark_type(code: int, subtype: int = 0, scale: int = 0, charset_id: int = -1
     return fixed[code]
 
 
+def surfaced(field: T.StructField, relation, opts) -> Column | None:
+    """A stored column as its declared type, or null where it is that already.
+
+    Integers with a scale are stored without their decimal point; text without a charset is
+    decoded; fixed width loses its trailing spaces; 128-bit integers and decimal floats are
+    exact text, unless ``int128`` asks for a decimal.
+    """
+    name, kind = field.name, field.dataType
+    column = F.col(f"`{name}`")
+    if name in relation.none_charset and isinstance(kind, T.BinaryType):
+        return None if opts.none_encoding == "blob" else decoded(column, opts.none_encoding, name)
+    if name not in relation.codes:
+        return None
+    code, subtype, scale = relation.codes[name]
+    target = spark_type(code, subtype, scale, 0 if name in relation.none_charset else -1, opts.none_encoding, opts.int128)
+    if code == CHAR:
+        return char_text(column.cast("string"))
+    if code in (DECFLOAT16, DECFLOAT34):
+        return decfloat_text(column)
+    if isinstance(target, T.DecimalType) and scale < 0 and isinstance(kind, (T.ShortType, T.IntegerType, T.LongType)):
+        return (column.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(scale))).cast(target)
+    return None if kind == target else column.cast(target)
+
+
 def code_of(kind: T.DataType) -> int:
     """The dictionary code that describes a Spark column."""
     if isinstance(kind, T.DecimalType):

@@ -2,61 +2,76 @@
 
 from __future__ import annotations
 
-import re
 import threading
+from functools import reduce
 
+from py4j.java_gateway import is_instance_of
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..conninfo import BridgeError, ConnectionInfo, ScanOptions, parse_connection
-from ..functions.charset import decoded
 from ..functions.text import sanitized
-from ..plans.partition import classify_key, pick_partition_count
-from ..plans.remote_sql import ScanPlan
+from ..functions.types import surfaced
+from ..plans.partition import classify_key, pick_partition_count, predicate, ranges
+from ..plans.pushdown import classified, mentioned
 from ..plans.view_shape import analyse
 from ..sources.backend import ParquetBackend
-from ..sources.dictionary import Relation, frames
-from .pool import Pool
+from ..sources.dictionary import SCHEMAS, Relation, discovered, frames
 from .telemetry import Telemetry, Timer
 
-_WRITES = re.compile(r"(?is)^\s*(create|drop|alter|insert|update|delete|merge|truncate|replace)\b")
+#: Nodes of a parsed statement that are not part of a query.
+_NOT_QUERIES = tuple(f"org.apache.spark.sql.catalyst.plans.logical.{n}" for n in ("Command", "ParsedStatement", "CompoundPlanStatement"))
 
 
 class Attached:
-    """One alias: a backend, its relations, and a dictionary that is loaded once, at first use."""
+    """One alias: a backend, its relations, and a dictionary. Each is loaded at first use."""
 
     def __init__(self, bridge: Bridge, alias: str, backend, relations: list[Relation], options: dict, **objects):
         self.bridge, self.alias, self.backend, self.objects = bridge, alias, backend, objects
         self.scan_options = options
         self.relations = {r.name.upper(): r for r in relations}
-        self.pool = Pool(lambda: object(), bridge.pool_enabled, bridge.pool_max_size, bridge.pool_idle_timeout_ms)
         self._lock, self._frames, self._schemas = threading.Lock(), None, {}
 
     def relation(self, name: str) -> Relation:
         parts = name.split(".")
         if len(parts) > 1 and parts[-2].lower() != "main":
             raise BridgeError(f"schema {parts[-2]!r} does not exist; the only schema is main")
-        found = self.relations.get(parts[-1].strip('"').upper())
+        found = self.relations.get(parts[-1].strip('"`').upper())
+        if found is None and parts[-1].lower() in SCHEMAS:
+            return Relation(parts[-1].lower(), kind="system")
         if found is None:
             raise BridgeError(f"relation {parts[-1]!r} does not exist in {self.alias}")
         return found
 
-    def read(self, relation: Relation) -> DataFrame:
+    def raw(self, relation: Relation, bounds=None, partitions: int = 1) -> DataFrame:
+        """The relation's rows as they are stored. A view's text sees the alias's relations by their names."""
+        if relation.kind == "system":
+            return self.dictionary[relation.name]
         if relation.kind == "view":
-            text = relation.view_source
-            for other in self.relations.values():
-                if other.kind != "view":
-                    text = re.sub(rf"(?i)\b(from|join)\s+{other.name}\b", lambda m, o=other: f"{m[1]} `{self.view_name(o.name)}`", text)
-            return self.bridge.spark.sql(text)
-        return self.backend.read(relation)
+            used = [r for r in self.relations.values() if r is not relation and mentioned(r.name, relation.view_source)]
+            self.publish(used)
+            names = ", ".join(f"`{r.name}` AS (SELECT * FROM `{self.view_name(r.name)}`)" for r in used)
+            return self.bridge.spark.sql(f"WITH {names} SELECT * FROM ({relation.view_source})" if names else relation.view_source)
+        return self.backend.read(relation, bounds, partitions)
+
+    def rows(self, relation: Relation, opts: ScanOptions, bounds=None, partitions: int = 1) -> DataFrame:
+        """The relation's rows with the declared types: text decoded, numbers scaled, fixed width trimmed."""
+        df = self.raw(relation, bounds, partitions)
+        changed = {f.name: c for f in df.schema.fields if (c := surfaced(f, relation, opts)) is not None}
+        return df.withColumns(changed) if changed else df
+
+    def publish(self, relations) -> None:
+        """Registers the views of some relations; a view's own relations come first."""
+        for r in sorted(relations, key=lambda r: r.kind == "view"):
+            self.rows(r, ScanOptions(**self.scan_options).validated()).createOrReplaceTempView(self.view_name(r.name))
 
     def view_name(self, name: str) -> str:
         return f"{self.alias}_main_{name}".lower()
 
     def schema(self, relation: Relation) -> T.StructType:
         if relation.name not in self._schemas:
-            self._schemas[relation.name] = self.read(relation).schema
+            self._schemas[relation.name] = self.raw(relation).schema
         return self._schemas[relation.name]
 
     @property
@@ -75,32 +90,32 @@ class Attached:
         key = self.key(relation)
         if not key.eligible:
             return None
-        low, high = self.read(relation).agg(F.min(key.column), F.max(key.column)).first()
+        low, high = self.raw(relation).agg(F.min(key.column), F.max(key.column)).first()
         return None if low is None or low == high else (low, high)
 
 
 class Bridge:
-    """Attach sources, scan relations, and ask about both.
-
-    Options: query_log_size (0: off), pool_enabled, pool_max_size (idle connections; 0: no
-    limit), pool_idle_timeout_ms (0: none).
-    """
+    """Attach sources, scan relations, and ask about both. ``query_log_size`` 0 keeps no log."""
 
-    def __init__(self, spark: SparkSession, query_log_size: int = 0, pool_enabled: bool = True, pool_max_size: int = 0, pool_idle_timeout_ms: int = 0):
+    def __init__(self, spark: SparkSession, query_log_size: int = 0):
         self.spark = spark
         self.telemetry = Telemetry(query_log_size)
-        self.pool_enabled, self.pool_max_size, self.pool_idle_timeout_ms = pool_enabled, pool_max_size, pool_idle_timeout_ms
         self.attached: dict[str, Attached] = {}
 
-    def attach(self, connection: str | ConnectionInfo, alias: str, relations: list[Relation], backend=None, none_encoding: str = "win1252", generators=(), domains=(), dependencies=(), **options) -> Attached:
-        """Registers an alias and a view ``<alias>_main_<relation>`` for each relation. Unknown options are ignored."""
+    def attach(self, connection: str | ConnectionInfo, alias: str, relations: list[Relation] | None = None, backend=None, none_encoding: str = "win1252", generators=(), domains=(), dependencies=(), **options) -> Attached:
+        """Registers an alias. Without ``relations`` the Parquet tables of the folder are found.
+
+        No table is opened yet: a relation is read when it is first used, and ``sql`` registers
+        the view ``<alias>_main_<relation>`` of those that a query names. Unknown options are ignored.
+        """
         info = parse_connection(connection, **options) if isinstance(connection, str) else connection
         if alias in self.attached:
             raise BridgeError(f"alias {alias!r} is attached already")
-        source = Attached(self, alias, backend or ParquetBackend(self.spark, info, relations), relations, {"none_encoding": ScanOptions(none_encoding=none_encoding).validated().none_encoding}, generators=generators, domains=domains, dependencies=dependencies)
+        if relations is None:
+            relations = discovered(self.spark, info.database)
+        options = {"none_encoding": ScanOptions(none_encoding=none_encoding).validated().none_encoding}
+        source = Attached(self, alias, backend or ParquetBackend(self.spark, info), relations, options, generators=generators, domains=domains, dependencies=dependencies)
         self.attached[alias] = source
-        for r in sorted(relations, key=lambda r: r.kind == "view"):
-            source.read(r).createOrReplaceTempView(source.view_name(r.name))
         return source
 
     def detach(self, alias: str) -> None:
@@ -115,11 +130,22 @@ class Bridge:
         return self.attached[alias]
 
     def sql(self, query: str) -> DataFrame:
-        """A query over the views; statements that write are refused."""
-        if _WRITES.match(query):
-            raise BridgeError("attached sources are read-only: only queries are allowed")
+        """A query over the views. Spark's parser decides what a query is: anything else is refused."""
+        self._refuse_commands(query)
+        for source in self.attached.values():
+            source.publish(r for r in source.relations.values() if mentioned(source.view_name(r.name), query))
         return self.spark.sql(query)
 
+    def _refuse_commands(self, query: str) -> None:
+        gateway = self.spark.sparkContext._gateway
+        nodes = [self.spark._jsparkSession.sessionState().sqlParser().parsePlan(query)]
+        while nodes:
+            node = nodes.pop()
+            if any(is_instance_of(gateway, node, kind) for kind in _NOT_QUERIES):
+                raise BridgeError("attached sources are read-only: only queries are allowed")
+            children = node.children()
+            nodes += [children.apply(i) for i in range(children.size())]
+
     def table(self, name: str) -> DataFrame:
         """``alias.main.relation`` or ``alias.relation``, without case."""
         alias, _, rest = name.partition(".")
@@ -131,57 +157,43 @@ class Bridge:
         ``where`` is applied before a page is cut; a later ``filter`` applies to the page. A page
         is ordered by the primary key, or by all orderable columns where there is none, so it
         is the same each time. Text columns of no declared charset are decoded above the scan,
-        so a filter on them compares decoded text and is not pushed.
+        so a filter on them compares decoded text and is not pushed. ``partitions`` of 2 or more
+        reads that many ranges of a single integer key; a relation without such a key is refused.
         """
         source = self.alias(alias, "scan")
         relation = source.relation(table)
         opts = ScanOptions(**(source.scan_options | options)).validated()
-        plan = ScanPlan(relation.name, columns or source.schema(relation).names, limit=opts.row_limit, offset=opts.row_offset)
+        record = {"catalog": alias, "table_name": relation.name, "limit": opts.row_limit, "offset": opts.row_offset}
         with Timer() as timer:
             try:
-                df = self._rows(source, relation, opts)
+                df, n = self._ranged(source, relation, opts)
                 if where is not None:
                     df = df.filter(where)
-                    self._classify(plan, relation, where)
                 if opts.row_limit is not None:
-                    plan.order = page_order(source.schema(relation), relation)
-                    df = df.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in plan.order]).offset(opts.row_offset or 0).limit(opts.row_limit)
+                    df = page(df, page_order(df.schema, relation), opts.row_limit, opts.row_offset or 0)
                 if columns:
                     df = df.select(*[F.col(f"`{c}`") for c in columns])
-                error = None
             except Exception as e:
-                error = sanitized(str(e).split("\n")[0])
+                self.telemetry.record(**record, error=sanitized(str(e).split("\n")[0]))
                 raise
-            finally:
-                n = 1 if opts.row_limit is not None else opts.partitions or self.planned_partitions(source, relation)
-                self.telemetry.record(catalog=alias, table_name=relation.name, remote_sql=plan.sql(), projected_columns=",".join(plan.columns), pushed_filters=" AND ".join(plan.pushed), residual_filters=",".join(plan.residual), not_pushed_reasons=",".join(plan.reasons), binds=",".join("<text:redacted>" for _ in plan.pushed), partitions=n, limit_pushed=plan.limit, offset_pushed=plan.offset, rows_clause=plan.rows_clause(), error=error)
-        self.telemetry.last.bridge_time_us = timer.us if hasattr(timer, "us") else None
+        self.telemetry.record(**record, projected_columns=",".join(df.columns), partitions=n, bridge_time_us=timer.us, filters=lambda: classified(df, relation.none_charset))
         return df
 
-    def _rows(self, source: Attached, relation: Relation, opts: ScanOptions) -> DataFrame:
-        key = source.key_range(relation) if opts.partitions != 1 and not isinstance(source.backend, ParquetBackend) else None
-        if key:
-            n = opts.partitions or pick_partition_count(*key, self.spark.sparkContext.defaultParallelism)
-            df = source.backend.read(relation, (source.key(relation).column, *key), n)
-        else:
-            df = source.read(relation)
-        raw = [c for c in relation.none_charset if isinstance(df.schema[c].dataType, T.BinaryType)]
-        return df.withColumns({c: decoded(F.col(c), opts.none_encoding, c) for c in raw}) if raw else df
-
-    @staticmethod
-    def _classify(plan: ScanPlan, relation: Relation, where) -> None:
-        text = re.sub(r"'(?:[^']|'')*'|\b\d+(?:\.\d+)?\b", "?", where if isinstance(where, str) else re.sub(r"^Column<'|'>$", "", str(where)))
-        if any(re.search(rf"\b{re.escape(c)}\b", text) for c in relation.none_charset):
-            plan.residual.append(text)
-            plan.reasons.append("NONE_CHARSET")
-        elif re.search(r"%|\bCAST\b|\w+\s*\(", text, re.I) and not re.search(r"\b(AND|OR|IN|NOT|BETWEEN)\s*\(", text, re.I):
-            plan.residual.append(text)
-            plan.reasons.append("UNSUPPORTED_OP")
-        else:
-            plan.pushed.append(text)
-
-    def planned_partitions(self, source: Attached, relation: Relation) -> int:
-        return 1 if relation.kind == "view" or not source.key(relation).eligible else self.spark.sparkContext.defaultParallelism if not isinstance(source.backend, ParquetBackend) else 1
+    def _ranged(self, source: Attached, relation: Relation, opts: ScanOptions) -> tuple[DataFrame, int]:
+        """The rows, and the number of key ranges they are read in. Files are split by Spark, so only a request makes ranges of them."""
+        files = isinstance(source.backend, ParquetBackend)
+        if opts.partitions == 1 or relation.kind != "table" or opts.row_limit is not None or files and not opts.partitions:
+            return source.rows(relation, opts), 1
+        key, bounds = source.key(relation), source.key_range(relation)
+        if opts.partitions > 1 and not key.eligible:
+            raise BridgeError(f"partitions needs a single integer key: {relation.name} has {key.reason}")
+        if not bounds:
+            return source.rows(relation, opts), 1
+        n = opts.partitions or pick_partition_count(*bounds, self.spark.sparkContext.defaultParallelism)
+        if not files:
+            return source.rows(relation, opts, (key.column, *bounds), n), n
+        parts = [source.rows(relation, opts).filter(predicate(f"`{key.column}`", *r)) for r in ranges(*bounds, n)]
+        return reduce(DataFrame.unionByName, parts), len(parts)
 
     def last_query(self) -> DataFrame:
         return self.telemetry.frame(self.spark, [self.telemetry.last] if self.telemetry.last else [])
@@ -193,8 +205,27 @@ class Bridge:
         return analyse(self.spark, relation.view_source)
 
 
+#: The last row of a page up to which each task may hold all rows before it.
+HELD_ROWS = 100_000
+
+
+def page(df: DataFrame, order: list[str], limit: int, offset: int) -> DataFrame:
+    """Rows offset + 1 to offset + limit in an order, nulls first.
+
+    For a near page every task keeps the rows up to its end in a heap, which Spark makes at full
+    size. A far page is cut from a sort, which spills: what is observed between them keeps the
+    planner from the heap.
+    """
+    rows = df.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order])
+    if limit + offset > HELD_ROWS:
+        rows = rows.observe("page", F.count(F.lit(1)).alias("rows"))
+    return rows.offset(offset).limit(limit)
+
+
 def page_order(schema: T.StructType, relation: Relation) -> list[str]:
     """The columns that order a page: the key, or all that can be ordered."""
     if relation.primary_key:
         return list(relation.primary_key)
     return [f.name for f in schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType, T.VariantType))]
+
+

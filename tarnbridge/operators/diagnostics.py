@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ..conninfo import BridgeError
 from ..plans.partition import pick_partition_count
-from ..plans.remote_sql import ScanPlan
+from ..plans.pushdown import file_scans
 from .bridge import Bridge
 
 _ALERTS = "alerts array<struct<code:string,severity:string,message:string>>"
@@ -32,7 +29,7 @@ def _alert(code: str) -> tuple:
     return (code, *ALERTS[code])
 
 
-def _indexes(relation) -> list[tuple]:
+def indexes_of(relation) -> list[tuple]:
     """(name, columns, unique, active, expression, is_pk, is_fk)."""
     out = [(f"PK_{relation.name}", relation.primary_key, True, True, None, True, False)] if relation.primary_key else []
     return out + [(n, c, False, True, None, False, True) for n, c, *_ in relation.foreign_keys] + [(*x[:5], False, False) for x in relation.indexes]
@@ -44,7 +41,7 @@ def profile_table(bridge: Bridge, name: str, cores: int | None = None) -> DataFr
     source = bridge.alias(alias, "profile_table")
     r = source.relation(rest)
     schema, view, codes = source.schema(r), r.kind == "view", []
-    covered = {c for x in _indexes(r) for c in x[1]}
+    covered = {c for x in indexes_of(r) for c in x[1]}
     candidates = [] if view else [f.name for f in schema.fields if f.name in covered and isinstance(f.dataType, _FILTERS) and f.name not in r.none_charset]
     risk, parts = "HIGH", 1
     if view:
@@ -59,7 +56,7 @@ def profile_table(bridge: Bridge, name: str, cores: int | None = None) -> DataFr
             codes = [{"no primary key": "no_primary_key", "composite PK": "composite_pk_serial", "non-numeric PK": "non_numeric_pk_serial"}.get(key.reason, "numeric_pk_no_range_serial")]
         codes += [] if candidates else ["no_indexed_filter_columns"]
     codes += ["none_charset_text_columns"] if r.none_charset else []
-    text = [f"{n} ({', '.join(c) if c else '(expression)'})" + " UNIQUE" * bool(u) + " PK" * pk for n, c, u, _, _, pk, _ in _indexes(r)]
+    text = [f"{n} ({', '.join(c) if c else '(expression)'})" + " UNIQUE" * bool(u) + " PK" * pk for n, c, u, _, _, pk, _ in indexes_of(r)]
     row = (r.name, r.kind, bool(r.primary_key), list(r.primary_key), text, [f.name for f in schema.fields if isinstance(f.dataType, _WATERMARKS)], candidates, risk, parts, [ALERTS[c][1] for c in codes], [_alert(c) for c in codes])
     return bridge.spark.createDataFrame([row], f"table_name string, object_type string, has_primary_key boolean, primary_key_columns array<string>, indexes array<string>, watermark_candidates array<string>, filter_candidates array<string>, full_scan_risk string, recommended_partitions int, warnings array<string>, {_ALERTS}")
 
@@ -69,7 +66,7 @@ def index_profile(bridge: Bridge, name: str) -> DataFrame:
     alias, _, rest = name.partition(".")
     source = bridge.alias(alias, "index_profile")
     r = source.relation(rest)
-    found = _indexes(r)
+    found = indexes_of(r)
     covered = {c for x in found for c in x[1]}
     bare = [f.name for f in source.schema(r).fields if f.name not in covered and isinstance(f.dataType, _FILTERS)]
     rows = [(n, list(c), u, a, pk, fk, None, ([] if a else [_alert("index_inactive")]) + [_alert("missing_statistics")], bare) for n, c, u, a, _, pk, fk in found]
@@ -93,37 +90,18 @@ def health(bridge: Bridge, alias: str, facts: dict | None = None) -> DataFrame:
     return bridge.spark.createDataFrame([(*row, oit, oat, f.get("attachments"), warnings)], f"{names}, oit_gap long, oat_gap long, attachments int, warnings array<string>")
 
 
-_EXPLAIN = "scan_ordinal int, table_name string, remote_sql string, projected_columns string, pushed_filters string, residual_filters string, not_pushed_reasons string, limit_pushed boolean, offset_pushed boolean, rows_clause string, pk_range_eligible boolean, pk_range_column string, pk_range_reason string, scan_strategy string, view_heavy boolean, view_heavy_reasons string, charset_pushdown_blocked boolean, planned_partitions int"
-
-
-def _scans(spark: SparkSession, query: str):
-    """(view or file, columns, pushed, all filters) of each scan of the physical plan; nothing runs."""
-    plan = spark.sql(query)._jdf.queryExecution().sparkPlan()
-    leaves = plan.collectLeaves()
-    for i in range(leaves.size()):
-        leaf = leaves.apply(i)
-        meta = leaf.toString() if leaf.getClass().getSimpleName() != "FileSourceScanExec" else leaf.simpleString(1000)
-        yield meta
+_EXPLAIN = "scan_ordinal int, table_name string, projected_columns string, pushed_filters string, residual_columns string, not_pushed_reasons string, pk_range_eligible boolean, pk_range_column string, pk_range_reason string, charset_pushdown_blocked boolean"
 
 
 def explain_pushdown(bridge: Bridge, alias: str, query: str) -> DataFrame:
-    """A row for each scan of a query, from its plan alone: what is projected, pushed, and split."""
+    """A row for each file scan of a query, from its plan alone: what is projected, pushed, and could be split."""
     source = bridge.alias(alias, "explain_pushdown")
-    if not re.match(r"(?is)^\s*(select|with)\b", query) or ";" in query.rstrip().rstrip(";"):
-        raise BridgeError("explain_pushdown: one SELECT statement is needed")
-    rows = []
-    for i, meta in enumerate(_scans(bridge.spark, query), 1):
-        location = re.search(r"Location: \w+\(\d+ paths?\)\[([^\]]*)\]", meta)
-        name = next((r for r in source.relations.values() if r.path and location and location[1].rstrip("/").endswith(f"/{r.name}.parquet")), None)
-        if name is None:
-            continue
-        columns = re.findall(r"(\w+):", (re.search(r"ReadSchema: struct<(.*)>", meta) or [None, ""])[1])
-        pushed = re.search(r"PushedFilters: \[(.*?)\](?:, ReadSchema|$)", meta)
-        terms = [re.sub(r",[^,()]*\)", ",?)", t.strip()) for t in re.findall(r"\w+\([^()]*(?:\([^()]*\)[^()]*)*\)", pushed[1] if pushed else "") if not t.startswith("IsNotNull")]
-        data = re.search(r"DataFilters: \[(.*?)\], Format", meta)
-        total = [t for t in re.split(r", (?![^(]*\))", data[1] if data else "") if t and "isnotnull" not in t]
-        residual = ["filter"] * max(0, len(total) - len(terms))
-        key = source.key(name)
-        plan = ScanPlan(name.name, columns, pushed=terms)
-        rows.append((i, name.name, plan.sql(), ",".join(columns), " AND ".join(terms), ",".join(residual), ",".join("UNSUPPORTED_OP" for _ in residual), False, False, None, key.eligible, key.column, key.reason, "file splits", None, None, bool(name.none_charset), 1))
+    df, rows = bridge.sql(query), []
+    known = {r.path.rstrip("/").split("/")[-1]: r for r in source.relations.values() if r.path and not r.codes}
+    for i, scan in enumerate(file_scans(df), 1):
+        r = known.get(scan.path.rstrip("/").split("/")[-1])
+        if r is not None:
+            pushed, residual, reasons = scan.classified(r.none_charset)
+            key = source.key(r)
+            rows.append((i, r.name, ",".join(scan.columns), " AND ".join(pushed), ";".join(residual), ",".join(reasons), key.eligible, key.column, key.reason, "NONE_CHARSET" in reasons))
     return bridge.spark.createDataFrame(rows, _EXPLAIN)

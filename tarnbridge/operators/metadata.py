@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import quote_yaml
@@ -10,7 +10,7 @@ from ..functions.types import FINDING_DETAIL, audit_finding, type_text
 from .bridge import Bridge
 
 #: Labels of object types by code.
-OBJECT_TYPES = {0: "TABLE", 1: "VIEW", 2: "TRIGGER", 3: "COMPUTED_FIELD", 4: "VALIDATION", 5: "PROCEDURE", 6: "EXPRESSION_INDEX", 7: "EXCEPTION", 8: "USER", 9: "FIELD", 10: "INDEX", 11: "CHARACTER_SET", 12: "USER_GROUP", 13: "ROLE", 14: "GENERATOR", 15: "UDF", 16: "BLOB_FILTER", 17: "COLLATION", 18: "PACKAGE_HEADER", 19: "PACKAGE_BODY"}
+OBJECT_TYPES = {0: "TABLE", 1: "VIEW", 2: "TRIGGER", 3: "COMPUTED_FIELD", 4: "VALIDATION", 5: "PROCEDURE", 6: "EXPRESSION_INDEX", 7: "EXCEPTION", 8: "USER", 9: "FIELD", 10: "INDEX", 14: "GENERATOR", 15: "UDF", 17: "COLLATION", 18: "PACKAGE", 19: "PACKAGE_BODY"}
 
 
 def _of(bridge: Bridge, alias: str, function: str) -> dict[str, DataFrame]:
@@ -88,21 +88,34 @@ def columns(bridge: Bridge, alias: str) -> DataFrame:
 
 
 def constraints(bridge: Bridge, alias: str) -> DataFrame:
-    """``information_schema.table_constraints`` with ``key_column_usage``."""
+    """``information_schema.key_column_usage``, with each constraint's type."""
     d = _of(bridge, alias, "constraints")
     return d["sys_relation_constraints"].join(d["sys_index_segments"], "index_name").select(F.col("relation").alias("table_name"), F.col("name").alias("constraint_name"), F.col("type").alias("constraint_type"), F.col("field").alias("column_name"), (F.col("position") + 1).alias("ordinal_position")).orderBy("table_name", "constraint_name", "ordinal_position")
 
 
+def referential_constraints(bridge: Bridge, alias: str) -> DataFrame:
+    d = _of(bridge, alias, "referential_constraints")
+    return d["sys_ref_constraints"].select(F.col("name").alias("constraint_name"), F.col("target").alias("unique_constraint_name"), "update_rule", "delete_rule").orderBy("constraint_name")
+
+
 def publish_information_schema(bridge: Bridge, alias: str) -> None:
     """Views ``<alias>_information_schema_<name>`` over the dictionary."""
     base = tables(bridge, alias).select(F.lit(alias).alias("table_catalog"), F.lit("main").alias("table_schema"), "table_name", F.lit("BASE TABLE").alias("table_type"))
-    for name, df in {"tables": base, "columns": columns(bridge, alias), "key_column_usage": constraints(bridge, alias), "referential_constraints": foreign_keys(bridge, alias)}.items():
+    usage = constraints(bridge, alias)
+    views = {"tables": base, "columns": columns(bridge, alias), "table_constraints": usage.select("table_name", "constraint_name", "constraint_type").distinct(), "key_column_usage": usage.drop("constraint_type"), "referential_constraints": referential_constraints(bridge, alias)}
+    for name, df in views.items():
         df.createOrReplaceTempView(f"{alias}_information_schema_{name}")
 
 
-def pool_stats(bridge: Bridge, alias: str) -> DataFrame:
-    rows = [bridge.alias(alias, "pool_stats").pool.stats(alias)]
-    return bridge.spark.createDataFrame(rows, "catalog_name string, pool_enabled boolean, max_idle_size int, idle_timeout_ms int, idle_connections int, total_created int, total_reused int, total_discarded int")
+def show_tables(bridge: Bridge, alias: str) -> DataFrame:
+    """The names of an alias's relations, views among them, in order."""
+    return tables(bridge, alias).select(F.col("table_name").alias("name")).orderBy("name")
+
+
+def describe(bridge: Bridge, name: str) -> DataFrame:
+    """column_name and column_type of a relation as a scan gives it."""
+    fields = bridge.table(name).schema.fields
+    return bridge.spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in fields], "column_name string, column_type string")
 
 
 def dbt_sources(bridge: Bridge, alias: str) -> DataFrame:
@@ -121,11 +134,6 @@ def dbt_sources(bridge: Bridge, alias: str) -> DataFrame:
     return bridge.spark.createDataFrame([("\n".join(lines) + "\n",)], "yaml string")
 
 
-def page_of(df: DataFrame, key: list[str], limit: int, offset: int = 0) -> DataFrame:
-    """One page of any DataFrame in the order of its key."""
-    return df.orderBy(*key).offset(offset).limit(limit)
-
-
 def range_profile(df: DataFrame, column: str, parts: list[tuple]) -> DataFrame:
     """Rows and key sum of each key range, in one aggregation."""
     index = F.lit(len(parts) - 1)
@@ -135,6 +143,6 @@ def range_profile(df: DataFrame, column: str, parts: list[tuple]) -> DataFrame:
 
 
 def latest(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The last row of each key: for incremental refreshes."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.col(order).desc()))
-    return df.withColumn("rank", rank).filter("rank = 1").drop("rank")
+    """The last row of each key, for incremental refreshes: an aggregation, so nothing is sorted. Ties go to the greatest other columns."""
+    rest = [c for c in df.columns if c not in (key, order)]
+    return df.groupBy(key).agg(F.max(F.struct(order, *rest)).alias("last")).select(key, "last.*").select(*df.columns)

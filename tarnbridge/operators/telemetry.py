@@ -1,14 +1,15 @@
-"""What scans were built: the last one, and a bounded log. No value of a text literal is kept."""
+"""What scans were built: the last one, and a bounded log. No value of a literal is kept."""
 
 from __future__ import annotations
 
 import time
 from collections import deque
-from dataclasses import asdict, dataclass
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-COLUMNS = "query_id long, catalog string, table_name string, remote_sql string, projected_columns string, pushed_filters string, residual_filters string, not_pushed_reasons string, binds string, partitions int, limit_pushed long, offset_pushed long, rows_clause string, rows_read long, bridge_time_us long, total_time_us long, error string, connection_id long"
+COLUMNS = "query_id long, catalog string, table_name string, projected_columns string, pushed_filters string, residual_columns string, not_pushed_reasons string, partitions int, limit_rows long, offset_rows long, bridge_time_us long, error string"
 
 
 @dataclass
@@ -16,21 +17,21 @@ class QueryRecord:
     query_id: int
     catalog: str
     table_name: str
-    remote_sql: str
-    projected_columns: str
-    pushed_filters: str
-    residual_filters: str
-    not_pushed_reasons: str
-    binds: str
-    partitions: int
-    limit_pushed: int | None
-    offset_pushed: int | None
-    rows_clause: str | None
-    rows_read: int | None = None
+    projected_columns: str = ""
+    filters: Callable[[], tuple] | None = None
+    partitions: int | None = None
+    limit: int | None = None
+    offset: int | None = None
     bridge_time_us: int | None = None
-    total_time_us: int | None = None
     error: str | None = None
-    connection_id: int | None = None
+
+    def row(self) -> tuple:
+        """The plan is looked at when the record is asked for, not at each scan."""
+        if callable(self.filters):
+            found = self.filters()
+            self.filters = found
+        pushed, residual, reasons = self.filters or ([], [], [])
+        return (self.query_id, self.catalog, self.table_name, self.projected_columns, " AND ".join(pushed), ",".join(residual), ",".join(reasons), self.partitions, self.limit, self.offset, self.bridge_time_us, self.error)
 
 
 class Telemetry:
@@ -41,7 +42,7 @@ class Telemetry:
         self.count, self.log = 0, deque(maxlen=log_size)
 
     def resize(self, log_size: int) -> None:
-        self.log = deque(self.log, maxlen=log_size) if log_size else deque(maxlen=0)
+        self.log = deque(self.log, maxlen=log_size)
 
     def record(self, **fields) -> QueryRecord:
         self.count += 1
@@ -50,7 +51,7 @@ class Telemetry:
         return self.last
 
     def frame(self, spark: SparkSession, records) -> DataFrame:
-        return spark.createDataFrame([tuple(asdict(r).values()) for r in records], COLUMNS)
+        return spark.createDataFrame([r.row() for r in records], COLUMNS)
 
 
 class Timer:

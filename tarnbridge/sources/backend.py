@@ -13,22 +13,34 @@ from .dictionary import Relation
 
 
 class ParquetBackend:
-    def __init__(self, spark: SparkSession, info: ConnectionInfo, relations: list[Relation] | None = None):
-        self.spark, self.info = spark, info
-        self.relations = relations or []
+    """Parquet files. A relation's schema is read once, from its files' footers; its files are listed at each read, so new ones are seen."""
+
+    def __init__(self, spark: SparkSession, info: ConnectionInfo):
+        self.spark, self.info, self.schemas = spark, info, {}
 
     def read(self, relation: Relation, bounds=None, partitions: int = 1) -> DataFrame:
-        """The relation's rows. A file scan is split by file ranges already, so key ranges add nothing."""
-        return self.spark.read.parquet(relation.path or f"{self.info.database}/{relation.name}.parquet")
+        path = relation.path or f"{self.info.database}/{relation.name}.parquet"
+        if path not in self.schemas:
+            self.schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self.schemas[path]).parquet(path)
 
 
 class CsvBackend(ParquetBackend):
+    """CSV files with a header; ``schema`` has the columns of each relation as DDL, else all are text."""
+
+    def __init__(self, spark: SparkSession, info: ConnectionInfo, schema: dict[str, str] | None = None, separator: str = ","):
+        super().__init__(spark, info)
+        self.schema, self.separator = schema or {}, separator
+
     def read(self, relation: Relation, bounds=None, partitions: int = 1) -> DataFrame:
-        return self.spark.read.csv(relation.path, header=True, inferSchema=False)
+        reader = self.spark.read.option("header", True).option("sep", self.separator).option("mode", "FAILFAST")
+        if relation.name in self.schema:
+            reader = reader.schema(self.schema[relation.name])
+        return reader.csv(relation.path or f"{self.info.database}/{relation.name}.csv")
 
 
 class JdbcBackend:
-    """A database by JDBC: each task opens its own read-only connection for its key range."""
+    """A database by JDBC: each task opens its own connection for its key range. The login should be one that may only read."""
 
     def __init__(self, spark: SparkSession, info: ConnectionInfo, url: str, driver: str):
         self.spark, self.info, self.url, self.driver = spark, info, url, driver

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..functions.types import code_of
+from ..functions.types import BIGINT, CHAR, DECFLOAT34, INT128, SMALLINT, code_of
 
 
 @dataclass
@@ -70,6 +70,14 @@ def frames(spark: SparkSession, relations: list[Relation], schema_of, generators
     return {n: spark.createDataFrame(rows[n], SCHEMAS[n]) for n in SCHEMAS}
 
 
+def discovered(spark: SparkSession, folder: str) -> list[Relation]:
+    """A relation for each ``*.parquet`` of a folder, on any file system that Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    names = sorted(x.getPath().getName() for x in found)
+    return [Relation(n.removesuffix(".parquet"), f"{folder.rstrip('/')}/{n}") for n in names if n.endswith(".parquet")]
+
+
 def tpch(folder: str) -> list[Relation]:
     """The declared metadata of the sample tables; the files' own schemas give the columns."""
     key = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey", "documents": "doc_id", "labels": "doc_id", "pages": "page_id", "benchmark": "item_id", "embeddings": "vec_id", "events": "event_id"}
@@ -78,4 +86,7 @@ def tpch(folder: str) -> list[Relation]:
     out = [Relation(n, f"{folder}/{n}.parquet", primary_key=(("conv_id", "turn") if n == "conversations" else (key[n],) if n in key else ()), foreign_keys=refs.get(n, ()), comment="Customers" if n == "customer" else None) for n in names]
     out.append(Relation("v_open_orders", kind="view", view_source="SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'O'"))
     out.append(Relation("v_customer_totals", kind="view", view_source="SELECT c.c_custkey, count(*) AS n FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY c.c_custkey"))
+    # The same files under declared types: scaled and 128-bit integers, decimal floats, fixed width, no charset.
+    out.append(Relation("typed_orders", f"{folder}/orders.parquet", primary_key=("o_orderkey",), codes={"o_totalprice": (BIGINT, 1, -2), "o_orderstatus": (CHAR, 0, 0), "o_custkey": (INT128, 0, 0)}))
+    out.append(Relation("typed_lineitem", f"{folder}/lineitem.parquet", codes={"l_partkey": (BIGINT, 1, -2), "l_suppkey": (DECFLOAT34, 0, 0), "l_linenumber": (SMALLINT, 0, 0)}))
     return out
