@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: The ASCII white space that separates words.
@@ -28,10 +28,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     if not root:
         if not conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = os.environ.setdefault("TARNBRIDGE_LOCAL_SCRATCH", tempfile.mkdtemp(prefix="spark-tarnbridge-"))
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="spark-tarnbridge-")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` from a table in the shared folder: computed once, and safe from lost executors."""
     spark = df.sparkSession
@@ -40,6 +45,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Workspace:
+    """Tables in the shared folder that one computation needs; all but the kept ones are removed when it ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stored(self, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+        path = scratch(self.spark, name)
+        if not keep:
+            self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        context = self.spark.sparkContext
+        for path in self.paths:
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+        self.paths.clear()
+
+
 def plain(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Only the identifier and the text (null: empty), under the names ``doc_id`` and ``text``."""
     return docs.select(docs[doc_id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"))
@@ -50,20 +79,24 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def matching_rows(docs: DataFrame, keys: dict, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose keys are in ``kept``, one row for each key.
+def settled(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """``df.select(*columns)``, computed once for a row: a generator keeps later filters and projections from repeating the expressions."""
+    return df.select(F.explode(F.array(F.struct(*columns))).alias("settled")).select("settled.*")
+
+
+def other_columns(docs: DataFrame, *known: str):
+    """The columns of ``docs`` but the known ones, as text to order rows by that are equal in those."""
+    rest = [docs[c] for c in docs.columns if c not in known]
+    return F.to_json(F.struct(*rest)) if rest else F.lit("")
+
+
+def matching_rows(docs: DataFrame, doc_id: str, text: str, who: dict, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose expressions ``who`` (by name) have values that are in ``kept``, one row for each.
 
-    keys: for each column of ``kept``, the expression over ``docs`` that must equal it
-    (nulls equal nulls). One shuffle of ``docs``; the window reuses it.
+    Of several rows the first stays in the order of the text and then of the other columns. One
+    shuffle of ``docs``; the window reuses it. The rows travel as one struct, so no name can clash.
     """
-    columns = docs.columns
-    names = {k: f"__key_{i}" for i, k in enumerate(keys)}
-    left = docs.withColumns({names[k]: e for k, e in keys.items()})
-    right = kept.select(*[F.col(k).alias(f"{names[k]}_r") for k in keys]).distinct()
-    same = [F.col(n).eqNullSafe(F.col(f"{n}_r")) for n in names.values()]
-    on = same[0]
-    for x in same[1:]:
-        on = on & x
-    rank = F.row_number().over(Window.partitionBy(*names.values()).orderBy(F.lit(0)))
-    found = left.join(right, on, "left_semi").withColumn("__rank", rank).filter("__rank = 1")
-    return found.select(*[F.col(f"`{c}`") for c in columns])
+    left = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), other_columns(docs, doc_id, text).alias("others"), *[e.alias(k) for k, e in who.items()])
+    found = left.join(kept.select(*who).distinct(), list(who), "left_semi")
+    order = Window.partitionBy(*who).orderBy(F.col("row")[text].asc_nulls_first(), "others")
+    return found.withColumn("rank", F.row_number().over(order)).filter("rank = 1").select("row.*")
