@@ -7,11 +7,15 @@ it is skipped: so a document's segmentation depends on nothing else, and each se
 gives another. Without dropout the pieces are the library's.
 
 Symbols of all words of many texts stand in one array. A round takes one agenda entry
-of every word at once; words without candidates leave the array.
+of every word at once; words without candidates leave the array. A word of more than
+LONG_WORD characters has a heap of its own, so that its work grows with its length and
+the logarithm of that, not with the square.
 """
 
 from __future__ import annotations
 
+from heapq import heapify, heappop, heappush
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +28,9 @@ MARK = "▁"
 #: Characters that a task segments at a time.
 GROUP_CHARS = 400_000
 
+#: Longer words get a heap.
+LONG_WORD = 256
+
 _STAND_IN = chr(0x10FFFF)
 _TABLE_BITS = 21
 _loaded: dict = {}
@@ -66,6 +73,7 @@ class Pieces:
         self.table = np.full(1 << _TABLE_BITS, -1, np.int32)
         self.table[slots] = np.arange(len(slots))
         self.table[np.flatnonzero(np.bincount(slots, minlength=1 << _TABLE_BITS) > 1)] = -2
+        self.by_pair: dict[int, tuple[int, int]] = {}
 
     @staticmethod
     def _slots(keys: np.ndarray) -> np.ndarray:
@@ -80,12 +88,70 @@ class Pieces:
         return np.where((at >= 0) & (self.keys[at] == key), at, -1)
 
 
+    def pairs(self) -> dict[int, tuple[int, int]]:
+        """The rank and the piece of each pair's merge, by the pair's key."""
+        if not self.by_pair:
+            self.by_pair = dict(zip(self.keys.tolist(), zip(self.rank.tolist(), self.merged.tolist(), strict=True), strict=True))
+        return self.by_pair
+
+
 def pieces(path: str) -> Pieces:
     if path not in _loaded:
         _loaded[path] = Pieces(path)
     return _loaded[path]
 
 
+def _mixed(x: int) -> int:
+    """``mix`` of one integer."""
+    x = (x + 0x9E3779B97F4A7C15) & _ALL
+    x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & _ALL
+    x = ((x ^ x >> 27) * 0x94D049BB133111EB) & _ALL
+    return x ^ x >> 31
+
+
+_ALL = (1 << 64) - 1
+
+
+def skipped(key: int, start: int, middle: int, stop: int, limit: int) -> bool:
+    """Whether the candidate of text[start:middle] and text[middle:stop] is skipped in the document of this key."""
+    return _mixed(_mixed(_mixed(start ^ key) ^ middle) ^ stop) < limit
+
+
+def _by_heap(model: Pieces, symbols: list[int], place: int, key: int, limit: int) -> tuple[list[int], list[int]]:
+    """The starts in the word, and the symbols, that are left of one word at ``place`` in its document."""
+    pairs, size, n = model.pairs(), model.size, len(symbols)
+    end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    #: For each symbol the merge with the next one; an entry of the agenda holds while this has its rank.
+    now: list = [None] * n
+
+    def candidate(a: int):
+        b = end[a]
+        found = None
+        if b < n and symbols[a] < size and symbols[b] < size:
+            found = pairs.get(symbols[a] * size + symbols[b])
+            if found and limit and skipped(key, place + a, place + b, place + end[b], limit):
+                found = None
+        now[a] = found
+        return found
+
+    agenda = [found[0] << 32 | a for a in range(n) if (found := candidate(a))]
+    heapify(agenda)
+    while agenda:
+        entry = heappop(agenda)
+        a = entry & 0xFFFFFFFF
+        if now[a] is None or now[a][0] != entry >> 32:
+            continue
+        b = end[a]
+        symbols[a], end[a], now[b], symbols[b] = now[a][1], end[b], None, -1
+        if end[a] < n:
+            before[end[a]] = a
+        for left in (before[a], a):
+            if left >= 0 and (found := candidate(left)):
+                heappush(agenda, found[0] << 32 | left)
+    starts = [a for a in range(n) if symbols[a] >= 0]
+    return starts, [symbols[a] for a in starts]
+
+
 def segment(model: Pieces, texts: list[str], keys: np.ndarray, dropout: float, seed: int) -> list[np.ndarray]:
     """The piece ids of each text. keys: 64 bits for each document, for the hash."""
     # A mark that the text itself holds must not become a space: the last code point stands for it, and it is spelled in bytes.
@@ -107,6 +173,15 @@ def segment(model: Pieces, texts: list[str], keys: np.ndarray, dropout: float, s
     limit = U(min(int(dropout * 2.0**64), 2**64 - 1))
     key = mix(keys.astype(np.int64).view(U) ^ mix(np.array([seed], np.int64).view(U)))
     none = np.int64(1) << 62
+    heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else np.zeros(0, np.int64)
+    lengths = np.diff(np.concatenate([heads, [len(word)]]))
+    for h, n in zip(heads[lengths > LONG_WORD].tolist(), lengths[lengths > LONG_WORD].tolist(), strict=True):
+        d = int(doc[h])
+        starts, left = _by_heap(model, symbol[h : h + n].tolist(), h - int(first[d]), int(key[d]), int(limit))
+        out[h + np.array(starts)] = left
+    if (lengths > LONG_WORD).any():
+        short = np.repeat(lengths <= LONG_WORD, lengths)
+        symbol, start, stop, word = symbol[short], start[short], stop[short], word[short]
     while len(symbol):
         merge = np.full(len(symbol), -1, np.int64)
         inside = np.flatnonzero(word[:-1] == word[1:])
@@ -155,8 +230,8 @@ def encode_pieces(docs: DataFrame, model: str, dropout: float = 0.1, seed: int =
 
     Each candidate merge is skipped with probability ``dropout``; the same seed, identifier and
     text give the same ids. A null text counts as empty and has no pieces. A mark in a text is
-    spelled in bytes, so that it comes back. Repeated rows get equal ids; an empty table gives
-    no rows. Other columns are ignored. No shuffle.
+    spelled in bytes, so that it comes back. Texts and words may be of any length. Repeated rows
+    get equal ids; an empty table gives no rows. Other columns are ignored. No shuffle.
     """
     if not 0 <= dropout <= 1:
         raise ValueError("dropout must be between 0 and 1")
