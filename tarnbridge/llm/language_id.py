@@ -5,6 +5,11 @@ gives every position a probability for each language; a document's probabilities
 the mean over its letters. It is trained by backpropagation through time. A task
 steps through thousands of windows at once, so the loop is over the positions of a
 window only.
+
+The last class is for what no language learned is: it is fitted to windows made from
+the others, with their letters under another alphabet order, their letters shuffled, or
+signs of other scripts. So a text in a language that was not learned gets a low
+probability for each one, however many there are.
 """
 
 from __future__ import annotations
@@ -14,15 +19,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .batches import slices
-from .samples import byte_windows, sample
+from .samples import byte_windows
 
 WINDOW, FIT_WINDOW, UNITS = 192, 64, 12
-#: The bound on the rows that are fitted, and windows of each.
-FIT_ROWS, FIT_WINDOWS = 1500, 4
+#: The bounds on what is fitted: documents of each language, windows of each, languages (the most frequent), and windows of no language.
+FIT_ROWS, FIT_WINDOWS, FIT_LANGUAGES, FIT_STRANGE = 375, 4, 200, 400
 #: Windows that a task steps through at a time.
 GROUP = 3072
 UNKNOWN = "und"
@@ -113,7 +118,7 @@ def gradients(m: dict, x: np.ndarray, y: np.ndarray) -> tuple[dict, float]:
     return g, loss
 
 
-def fit(rows: list[tuple[list[bytes], int]], classes: int, steps: int = 60, size: int = 128, rate: float = 0.03, seed: int = 3) -> dict:
+def fit(rows: list[tuple[list[bytes], int]], classes: int, steps: int = 90, size: int = 160, rate: float = 0.03, seed: int = 3) -> dict:
     """Fits the network to (windows, class) by Adam; each step draws the classes equally often."""
     m, rng = initial(classes, seed), np.random.default_rng(seed)
     x = [windows(b[:FIT_WINDOW], FIT_WINDOW)[0] for bs, _ in rows for b in bs]
@@ -130,25 +135,51 @@ def fit(rows: list[tuple[list[bytes], int]], classes: int, steps: int = 60, size
     return m
 
 
+def strange(windows_: list[bytes], n: int = FIT_STRANGE, seed: int = 1) -> list[bytes]:
+    """Windows of no language, made from those of languages: half with permuted alphabets, a quarter with shuffled letters, a quarter in other scripts."""
+    rng, letters, out = np.random.default_rng(seed), np.arange(ord("a"), ord("z") + 1, dtype=np.uint8), []
+    for k in range(n if windows_ else 0):
+        data = np.frombuffer(windows_[rng.integers(len(windows_))], np.uint8).copy()
+        at = np.flatnonzero((data >= ord("a")) & (data <= ord("z")))
+        if k % 4 < 2:
+            data[at] = rng.permutation(letters)[data[at] - ord("a")]
+        elif k % 4 == 2:
+            data[at] = rng.permutation(data[at])
+        else:
+            # A block of letters somewhere between Greek and Hangul, with spaces.
+            block = int(rng.integers(0x370, 0xD000 - 256)) & ~0x7F
+            signs = "".join(chr(block + int(x)) if x < 100 else " " for x in rng.integers(0, 115, FIT_WINDOW))
+            data = np.frombuffer(signs.encode()[:FIT_WINDOW], np.uint8)
+        out.append(data.tobytes())
+    return out
+
+
 def fit_languages(docs: DataFrame, learn_from=None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = FIT_ROWS) -> tuple[dict, list[str]]:
-    """Fits the network to at most ``rows`` documents with a language, FIT_WINDOWS windows of each; returns it and the languages.
+    """Fits the network to at most ``rows`` documents of each language, FIT_WINDOWS windows of each, and to FIT_STRANGE
+    windows of no language, its last class; returns it and the languages.
 
-    ``learn_from`` is a condition on ``doc_id``. Without such documents there is no language.
+    ``learn_from`` is a condition on ``doc_id``. The languages are counted over all such documents, so
+    a rare one has its own rows; beyond FIT_LANGUAGES the least frequent are not learned. Rows that
+    repeat an identifier count as one document. Without such documents there is no language.
     """
     known = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), docs[lang].alias("lang")).filter("lang is not null and text is not null")
     if learn_from is not None:
         known = known.filter(learn_from)
-    # The rows are drawn before any text is read; repeated identifiers are drawn again after the join.
-    drawn = sample(known.select("doc_id").distinct(), rows)
-    texts = sample(known.join(F.broadcast(drawn), "doc_id"), rows)
-    found = texts.select("doc_id", "lang", byte_windows(F.lower("text"), FIT_WINDOWS, FIT_WINDOW).alias("x")).collect()
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(FIT_LANGUAGES)
+    # Rows are drawn before any text is read: by a hash about three times as many as wanted, then the first of these.
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    few = known.select("doc_id", "lang").join(F.broadcast(counts), "lang").filter(place < 3 * rows / F.col("count")).select("doc_id", "lang").distinct()
+    drawn = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))).filter(F.col("rank") <= rows).drop("rank")
+    texts = known.join(F.broadcast(drawn), ["doc_id", "lang"])
+    found = texts.groupBy("doc_id", "lang").agg(F.min(byte_windows(F.lower("text"), FIT_WINDOWS, FIT_WINDOW)).alias("x")).collect()
     langs = sorted({r.lang for r in found})
     rows_ = [([bytes(b) for b in r.x], langs.index(r.lang)) for r in sorted(found, key=lambda r: (r.doc_id, r.lang))]
-    return fit(rows_, max(1, len(langs))), langs
+    none = [([w], len(langs)) for w in strange([w for ws, _ in rows_ for w in ws])]
+    return fit(rows_ + none, len(langs) + 1), langs
 
 
 def predict(m: dict, texts: list[str]) -> np.ndarray:
-    """Each text's class probabilities: the mean over its letters' positions."""
+    """Each text's class probabilities, the mean over its letters' positions; the last is for no language learned."""
     each = [windows(t.lower().encode("utf-8", "surrogatepass")) for t in texts]
     x, owner = np.concatenate(each), np.repeat(np.arange(len(each)), [len(w) for w in each])
     sums, letters = np.zeros((len(each), len(m["c"]))), np.zeros(len(each))
@@ -165,8 +196,8 @@ def _predictor(model: dict, langs: list[str]):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             out = {"lang_pred": [], "score": []}
-            for (part,) in slices([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])], text_at=0):
-                p = predict(model, part)
+            for (part,) in slices([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])], text_at=0, size=GROUP * WINDOW):
+                p = predict(model, part)[:, : max(1, len(langs))]
                 known = [bool(langs) and any(map(str.isalpha, t)) for t in part]
                 out["lang_pred"] += [langs[b] if k else UNKNOWN for b, k in zip(p.argmax(1).tolist(), known, strict=True)]
                 out["score"] += np.where(known, np.clip(p.max(1), 0, 1), 0.0).tolist()
@@ -175,12 +206,13 @@ def _predictor(model: dict, langs: list[str]):
     return F.pandas_udf(run, "lang_pred string, score double")
 
 
-def languages(docs: DataFrame, model: dict, langs: list[str], text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with a column ``predicted`` of (lang_pred, score).
+def languages(docs: DataFrame, model: dict, langs: list[str], text: str = "text", column: str = "predicted") -> DataFrame:
+    """The rows of ``docs`` with a column ``predicted`` (or ``column``) of (lang_pred, score): the likeliest language and
+    its probability. A low score tells a text in none of the languages learned.
 
     ``lang_pred`` is ``und`` with score 0 where the text is null or empty or has no letter, or
     no language was learned. Ties go to the language first in order. Repeated rows get equal
-    results; an empty table gives no rows. A column named ``predicted`` is replaced. No shuffle,
-    and only the text goes to Python.
+    results; texts of any length are read whole; an empty table gives no rows. A column of
+    that name is replaced. No shuffle, and only the text goes to Python.
     """
-    return docs.withColumn("predicted", _predictor(model, langs)(F.coalesce(docs[text], F.lit(""))))
+    return docs.withColumn(column, _predictor(model, langs)(F.coalesce(docs[text], F.lit(""))))
