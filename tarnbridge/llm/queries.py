@@ -142,8 +142,10 @@ def _rules() -> str:
     q = quality_rules
     classes = [f"k[{i + 1}]" for i in range(len(q.CLASSES))]
     words = [f"c[{i + 1}]" for i in range(16)]
-    chars = ", ".join(f"length(regexp_replace(text, {_sql_text(p)}, '', 'g'))::DOUBLE" for p in q.CLASSES.values())
+    chars = ", ".join(f"(length(text) - length(regexp_replace(text, {_sql_text(p)}, '', 'g')))::DOUBLE" for p in q.CLASSES.values())
     by_class = ", ".join(_sql_distance(classes, "kt", r) for r in q.CLASS_REFERENCES.values())
+    by_word = " ".join(f"WHEN {i} THEN {_sql_distance(words, 'ct', r)}" for i, r in enumerate(q.COMMON_SHARES.values(), 1))
+    symbols = _sql_distance(["n_symbols", "(word_chars - n_symbols)"], "word_chars", (q.SYMBOL_SHARE, 1 - q.SYMBOL_SHARE))
     langs = ", ".join("[" + ", ".join(_sql_text(w) for w in ws) + "]" for ws in q.COMMON_WORDS.values())
     return rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -159,14 +161,14 @@ g AS (SELECT doc_id, lang, list(n::DOUBLE ORDER BY pos) AS c FROM
         (SELECT x.doc_id, x.lang, x.pos, coalesce(f.n, 0) AS n FROM
           (SELECT doc_id, lang, unnest(list) AS word, generate_subscripts(list, 1) AS pos FROM d, (SELECT unnest([{langs}]) AS list, generate_subscripts([{langs}], 1) AS lang)) x
           LEFT JOIN f ON f.doc_id = x.doc_id AND f.word = x.word) GROUP BY doc_id, lang),
-gd AS (SELECT doc_id, max(ct) AS n_common, min({_sql_distance(words, 'ct', (1.0,) * 16)}) AS word_distance FROM (SELECT *, list_sum(c) AS ct FROM g) GROUP BY doc_id),
+gd AS (SELECT doc_id, min(CASE lang {by_word} END) AS word_distance FROM (SELECT *, list_sum(c) AS ct FROM g) GROUP BY doc_id),
 hd AS (SELECT doc_id, k, least({by_class}) AS class_distance FROM (SELECT *, list_sum(k) AS kt FROM h)),
 a AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars, k[4]::BIGINT AS n_symbols,
-        (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, class_distance, word_distance, n_common
+        (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, class_distance, word_distance
       FROM w JOIN l USING (doc_id) JOIN hd USING (doc_id) JOIN gd USING (doc_id) LEFT JOIN p USING (doc_id)),
-b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM a)
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {symbols} AS symbol_distance FROM a)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT (word_chars >= {q.MIN_CHARS} AND class_distance > {q.MAX_CLASS_DISTANCE}) AND NOT (n_common >= {q.MIN_COMMON} AND word_distance > {q.MAX_WORD_DISTANCE}) AS kept
+  NOT base_failed AND NOT (word_chars >= {q.MIN_CHARS} AND (class_distance > {q.MAX_CLASS_DISTANCE} OR symbol_distance > {q.MAX_SYMBOL_DISTANCE})) AND NOT (n_words >= {q.MIN_WORDS} AND word_distance > {q.MAX_WORD_DISTANCE}) AS kept
 FROM b
 """
 
