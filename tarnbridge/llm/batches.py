@@ -2,26 +2,28 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DataType, StructType
 
-#: Characters of text that a task handles at a time; a longer text is handled alone.
-SLICE_CHARS = 2_000_000
+#: Bytes of text that a task handles at a time; a longer text is handled alone.
+SLICE_BYTES = 500_000
 
 
-def slices(batches, text_at: int = 1):
-    """Lists of the batches' columns, cut so that the texts of a list have about SLICE_CHARS characters."""
+def slices(batches, text_at: int = 1, size: int = SLICE_BYTES):
+    """Lists of the batches' columns, cut so that the texts of a list have about ``size`` bytes.
+
+    A batch is cut while it is Arrow, so Python objects are made for one slice at a time.
+    """
     for batch in batches:
-        columns = [c.to_pylist() for c in batch.columns]
-        begin = size = 0
-        for i, text in enumerate(columns[text_at]):
-            if size and size + len(text) > SLICE_CHARS:
-                yield [c[begin:i] for c in columns]
-                begin, size = i, 0
-            size += len(text)
-        if begin < len(columns[text_at]):
-            yield [c[begin:] for c in columns]
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        begin = before = 0
+        while begin < len(ends):
+            end = max(begin + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield [c.to_pylist() for c in batch.slice(begin, end - begin).columns]
+            begin, before = end, int(ends[end - 1])
 
 
 def arrow(ddl: str, doc_id: DataType | None = None) -> tuple[str, pa.Schema]:

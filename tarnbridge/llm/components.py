@@ -5,26 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import Workspace
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(work: Workspace, edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b): the root is the component's smallest node.
 
     The number of rounds grows with the logarithm of a component's size. Minima are
     aggregated before the shuffle, and the joins read stored tables, so that adaptive
     execution can split a hub. No edges give no rows.
     """
-    now = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    now = work.stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while not _stars(now):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
-        large = stored(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct(), "edges")
-        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        least = work.stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+        large = work.stored(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct(), "edges")
+        least = work.stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
-        now = stored(small.select("e.*").filter("a <> b").distinct(), "edges")
+        now = work.stored(small.select("e.*").filter("a <> b").distinct(), "edges")
     roots = now.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("root"))
-    return stored(now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots), "components")
+    return work.stored(now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots), "components")
 
 
 def _stars(edges: DataFrame) -> bool:

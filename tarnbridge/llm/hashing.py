@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS: list[np.ndarray] = []
+_BASE = 0x9E3779B97F4A7C15
+#: Bytes whose words are hashed at a time; a longer word is hashed alone.
+BLOCK = 1 << 19
 
 U = np.uint64
 
@@ -23,25 +23,40 @@ def odd(n: int, seed: int) -> np.ndarray:
     return mix(np.arange(n, dtype=U) + U(seed << 20)) | U(1)
 
 
-def _powers(n: int) -> list[np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
-        n = max(n, 1 << 16)
-        n += n // 4
-        _POWERS[:] = [np.cumprod(np.concatenate([np.ones(1, U), np.full(n, b, U)])) for b in (_BASE, _INVERSE)]
-    return _POWERS
+def _powers(n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, U), np.full(n - 1, _BASE, U)]))
+
+
+_POWERS = _powers(256)
 
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all words of texts whose words are parted by one space, and the number of words of each text."""
+    """The hashes of all words of texts whose words are parted by one space, and the number of words of each text.
+
+    A word's hash is a polynomial of its bytes, so the same word has the same hash in any text.
+    Words are taken in blocks: what is held beside the texts does not grow with a text's length.
+    """
     counts = np.array([t.count(" ") + 1 if t else 0 for t in texts], np.int64)
     flat = np.frombuffer((" ".join([t for t in texts if t]) + " ").encode("utf-8", "surrogatepass"), np.uint8)
     if not counts.sum():
         return np.zeros(0, U), counts
-    power, inverse = _powers(len(flat) + 1)
-    sums = np.concatenate([np.zeros(1, U), np.cumsum((flat.astype(U) + U(1)) * power[: len(flat)])])
     ends = np.flatnonzero(flat == 32)
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    return mix((sums[ends] - sums[starts]) * inverse[starts]), counts
+    out = np.empty(len(ends), U)
+    at = begin = 0
+    while at < len(ends):
+        stop = max(at + 1, int(np.searchsorted(ends, begin + BLOCK)))
+        last = int(ends[stop - 1]) + 1
+        here = ends[at:stop] - begin
+        starts = np.concatenate([[0], here[:-1] + 1])
+        sizes = here + 1 - starts
+        longest = int(sizes.max())
+        power = _POWERS if longest <= len(_POWERS) else _powers(longest)
+        value = flat[begin:last].astype(U) + U(1)
+        value *= power[np.arange(last - begin) - np.repeat(starts, sizes)]
+        value[here] = 0
+        out[at:stop] = np.add.reduceat(value, starts)
+        at, begin = stop, last
+    return mix(out), counts
 
 
 def shingles(words: np.ndarray, size: int) -> np.ndarray:

@@ -21,8 +21,11 @@ count as not shared, which bounds their similarity. Pairs that cannot be similar
 never compared: the smaller sum of weights over the larger bounds the similarity, too;
 one minus the similarity is a metric, so distances to the same pivot must not differ
 by more than the threshold allows; and at least AGREE of the 64 samples must agree in four bits. A pair of similarity 0.8
-fails the last in about one case of 9,000, and shares no band in two of 10,000; the
-other bounds are exact.
+fails the last in about one case of 9,000 (``agree=0`` turns it off), and shares no band
+in two of 10,000; the other bounds are exact.
+
+The texts of nodes in shared buckets are found by one shuffle of the documents, at every
+size; only the documents' keys, not their texts, are held to build the join.
 """
 
 from __future__ import annotations
@@ -30,11 +33,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .batches import arrow, batch, slices
-from .common import SPACE, matching_rows, stored
+from .common import SPACE, Workspace, matching_rows
 from .components import components
 from .hashing import U, mix, odd, shingles, word_hashes
 
@@ -45,8 +49,6 @@ BUCKETS = 1 << 18
 DRAWS = 1 << 16
 #: Orders that pivots are chosen by, and the nodes of a bucket that a node meets in the first round of samples, and the growth by round.
 ORDERS, FIRST, GROWTH = 4, 64, 64
-#: Nodes of shared buckets, each of some 50 bytes, up to which they are broadcast to find their texts.
-FEW = 500_000
 #: Nodes that may have a rare shingle: whoever shares one is compared directly.
 RARE = 3
 #: Samples of 64 that must agree in their lowest BITS bits before two texts are compared.
@@ -197,8 +199,11 @@ def rare_shingles(texts: DataFrame, idf: np.ndarray) -> DataFrame:
 
     def run(batches):
         for nids, norms in slices(batches):
-            items = [list(zip(v[0].view(np.int64).tolist(), v[1].tolist(), strict=True)) for v in _vectors(norms, idf)]
-            yield batch(kind, nid=nids, items=items)
+            vectors = list(_vectors(norms, idf))
+            ends = np.cumsum([0, *[len(v[0]) for v in vectors]]).astype(np.int32)
+            each = kind.field("items").type.value_type
+            items = pa.StructArray.from_arrays([pa.array(np.concatenate([v[0] for v in vectors]).view(np.int64)), pa.array(np.concatenate([v[1] for v in vectors]).astype(np.float64))], fields=list(each))
+            yield batch(kind, nid=nids, items=pa.ListArray.from_arrays(pa.array(ends), items).cast(kind.field("items").type))
 
     each = texts.select("nid", "norm").mapInArrow(run, schema).select("nid", F.inline("items"))
     # Three nodes follow from the smallest, the largest and the exclusive or of all, so that no group is collected.
@@ -207,36 +212,36 @@ def rare_shingles(texts: DataFrame, idf: np.ndarray) -> DataFrame:
     return by_s.groupBy("lo", third.alias("mid"), "hi").agg(F.sum("w").alias("weight")).select(F.array_compact(F.array_distinct(F.array("lo", "mid", "hi"))).alias("nodes"), "weight")
 
 
-def _nodes(docs: DataFrame, doc_id: str, text: str, threshold: float):
+def _nodes(docs: DataFrame, doc_id: str, text: str, threshold: float, agree: int, work: Workspace):
     """The documents' signatures, the nodes, and the components of the nodes with links."""
     base = docs.select(docs[doc_id].alias("doc_id"), content(docs[text]).alias("norm")).withColumn("h", content_key(F.col("norm")))
     idf = inverse_frequencies(document_frequencies(base))
-    signed = stored(signatures(base, idf), "signatures")
+    signed = work.stored(signatures(base, idf), "signatures", keep=True)
     nodes = signed.filter(F.size("bands") > 0).groupBy("h").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.first(F.struct("weight", *[F.col("bits")[b].alias(f"b{b}") for b in range(BITS)])).alias("sketch"), F.first("bands").alias("bands"))
-    nodes = stored(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
+    nodes = work.stored(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
 
     entries = nodes.select("nid", "sketch", F.explode("bands").alias("key"))
     order = F.xxhash64("nid", F.pmod("key", F.lit(ORDERS)))
-    shared = stored(entries.groupBy("key").agg(F.min_by(F.struct("nid", "sketch"), order).alias("p"), F.count("*").alias("n")).filter("n > 1").select("key", F.col("p.nid").alias("pivot"), F.col("p.sketch").alias("p_sketch"), "n"), "buckets")
-    entries = stored(entries.join(shared, "key").select("key", "nid", "sketch", "pivot", "p_sketch", "n"), "entries")
-    needed = stored(nodes.join(entries.select("nid").distinct(), "nid", "left_semi").select("nid", "h", "first_id"), "needed")
-    same = base["h"].eqNullSafe(needed["h"]) & base["doc_id"].eqNullSafe(needed["first_id"])
-    # The few columns of needed nodes go to the tasks while there are few; beyond that, the texts are shuffled.
-    sought = F.broadcast(needed) if needed.count() <= FEW else needed
-    texts = stored(base.join(sought, same).select("nid", "norm").dropDuplicates(["nid"]), "texts")
+    shared = work.stored(entries.groupBy("key").agg(F.min_by(F.struct("nid", "sketch"), order).alias("p"), F.count("*").alias("n")).filter("n > 1").select("key", F.col("p.nid").alias("pivot"), F.col("p.sketch").alias("p_sketch"), "n"), "buckets")
+    entries = work.stored(entries.join(shared, "key").select("key", "nid", "sketch", "pivot", "p_sketch", "n"), "entries")
+    # One document of each needed node: the words' key and a hash of the identifier (of two that share both, either has the words).
+    who = F.xxhash64(F.col("doc_id"))
+    needed = nodes.join(entries.select("nid").distinct(), "nid", "left_semi").select("nid", "h", F.xxhash64("first_id").alias("who"))
+    texts = base.select("norm", "h", who.alias("who")).join(needed.hint("shuffle_hash"), ["h", "who"])
+    texts = work.stored(texts.dropDuplicates(["h", "who"]).select("nid", "norm"), "texts")
 
     def alike(one: str, two: str) -> Column:
         differ = F.lit(0).cast("long")
         for b in range(BITS):
             differ = differ.bitwiseOR(F.col(f"{one}.b{b}").bitwiseXOR(F.col(f"{two}.b{b}")))
         heavy = F.greatest(f"{one}.weight", f"{two}.weight")
-        return (F.least(f"{one}.weight", f"{two}.weight") >= (threshold - 1e-6) * heavy) & (F.bit_count(differ) <= BANDS * ROWS - AGREE)
+        return (F.least(f"{one}.weight", f"{two}.weight") >= (threshold - 1e-6) * heavy) & (F.bit_count(differ) <= BANDS * ROWS - agree)
 
     pairs = entries.filter("nid <> pivot").filter(alike("sketch", "p_sketch")).select(F.col("nid").alias("a"), F.col("pivot").alias("b")).distinct()
-    known = stored(verify(pairs, texts, idf), "similarities")
+    known = work.stored(verify(pairs, texts, idf), "similarities")
     to_pivot = known.select(F.col("a").alias("nid"), F.col("b").alias("pivot"), "sim")
-    placed = stored(entries.join(to_pivot, ["nid", "pivot"], "left").select("key", "nid", "sketch", "pivot", "n", F.when(F.col("nid") == F.col("pivot"), 1.0).otherwise(F.col("sim")).alias("sim")), "placed")
-    joined = components(known.filter(F.col("sim") >= threshold).select("a", "b"))
+    placed = work.stored(entries.join(to_pivot, ["nid", "pivot"], "left").select("key", "nid", "sketch", "pivot", "n", F.when(F.col("nid") == F.col("pivot"), 1.0).otherwise(F.col("sim")).alias("sim")), "placed")
+    joined = components(work, known.filter(F.col("sim") >= threshold).select("a", "b"))
     bands = nodes.select("nid", "bands")
     most, rare = 0, None
     while True:
@@ -248,12 +253,12 @@ def _nodes(docs: DataFrame, doc_id: str, text: str, threshold: float):
         first = rare is None
         if first:
             partners = now.join(now.filter("own <> main").select("key").distinct(), "key", "left_semi").select("nid").distinct()
-            rare = stored(rare_shingles(texts.join(partners, "nid", "left_semi"), idf), "rare")
-            lone = stored(rare.select(F.explode("nodes").alias("nid"), "weight").groupBy("nid").agg(F.sum("weight").alias("lone")), "lone")
+            rare = work.stored(rare_shingles(texts.join(partners, "nid", "left_semi"), idf), "rare")
+            lone = work.stored(rare.select(F.explode("nodes").alias("nid"), "weight").groupBy("nid").agg(F.sum("weight").alias("lone")), "lone")
         # The weight that a node can share with any other but those that it shares rare shingles with, with room for rounding.
         now = now.join(lone, "nid", "left").withColumn("common", F.col("sketch.weight") * (1 + 1e-6) - F.coalesce("lone", F.lit(0.0))).drop("lone")
         now = now.filter(F.col("common") >= threshold * F.col("sketch.weight"))
-        apart = stored(now.filter("own <> main").select("key", F.col("nid").alias("q"), F.col("sketch").alias("q_sketch"), F.col("sim").alias("q_sim"), F.col("own").alias("q_own"), F.col("common").alias("q_common")), "apart")
+        apart = work.stored(now.filter("own <> main").select("key", F.col("nid").alias("q"), F.col("sketch").alias("q_sketch"), F.col("sim").alias("q_sim"), F.col("own").alias("q_own"), F.col("common").alias("q_common")), "apart")
         if not first and not apart.limit(1).count():
             return signed, nodes, joined
         if first:
@@ -277,14 +282,14 @@ def _nodes(docs: DataFrame, doc_id: str, text: str, threshold: float):
             two = two.join(at.select(F.col("nid").alias("a"), "sketch", "own"), "a").join(at.select(F.col("nid").alias("b"), F.col("sketch").alias("q_sketch"), F.col("own").alias("q_own")), "b")
             ways = ways.union(two.filter((F.col("own") != F.col("q_own")) & alike("sketch", "q_sketch")).select("a", "b"))
         decided = known.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        more = stored(verify(ways.distinct().join(decided, ["a", "b"], "left_anti"), texts, idf), "similarities")
+        more = work.stored(verify(ways.distinct().join(decided, ["a", "b"], "left_anti"), texts, idf), "similarities")
         known = known.unionByName(more)
         links = more.filter(F.col("sim") >= threshold).select("a", "b")
         if links.limit(1).count():
-            joined = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
+            joined = components(work, joined.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text", agree: int = AGREE) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, group_size, kept, h.
 
     A class is a connected component of documents whose weighted similarity is ``threshold`` or
@@ -292,20 +297,27 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str =
     key of the document's words. Documents with the same words (null counts as empty; case and
     white space do not count) are in one class; a text without words is in a class of its own. A
     text of fewer than five words has one shingle of all of them. Repeated rows share their
-    result. An empty table gives no rows. Other columns are ignored.
+    result. Texts of any length are taken whole. An empty table gives no rows. Other columns are
+    ignored. Of the 64 samples of two texts ``agree`` must agree before they are compared; 0
+    compares all that share a band and that no exact bound rules out.
     """
-    signed, nodes, joined = _nodes(docs, doc_id, text, threshold)
-    classed = stored(nodes.join(joined.withColumnRenamed("node", "nid"), "nid", "left").select("h", "first_id", "n", F.coalesce("root", "nid").alias("root")), "classed")
-    # The null identifier is the smallest only where a class has no other.
-    totals = stored(classed.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("group_size")), "totals")
-    by_h = stored(classed.join(totals, "root").select("h", "class_id", "group_size"), "by-content")
+    with Workspace(docs.sparkSession) as work:
+        signed, nodes, joined = _nodes(docs, doc_id, text, threshold, agree, work)
+        classed = work.stored(nodes.join(joined.withColumnRenamed("node", "nid"), "nid", "left").select("h", "first_id", "n", F.coalesce("root", "nid").alias("root")), "classed")
+        # The null identifier is the smallest only where a class has no other.
+        totals = classed.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("group_size"))
+        by_h = work.stored(classed.join(totals, "root").select("h", "class_id", "group_size"), "by-content", keep=True)
     worded = F.size("bands") > 0
     alone = signed.filter(~worded).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "h")
     grouped = signed.filter(worded).select("doc_id", "h").join(by_h, "h").select("doc_id", "class_id", "group_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"), "h")
     return grouped.union(alone)
 
 
-def drop_near(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, with all columns; one row for an identifier and its words."""
-    kept = near_duplicates(docs, threshold, doc_id, text).filter("kept")
-    return matching_rows(docs, {"doc_id": docs[doc_id], "h": content_key(content(docs[text]))}, kept)
+def drop_near(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text", agree: int = AGREE) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all columns, whatever their names.
+
+    Of rows with one identifier and the same words the first stays, in the order of the text and
+    then of the other columns as JSON. An empty table gives no rows.
+    """
+    kept = near_duplicates(docs, threshold, doc_id, text, agree).filter("kept").select("h", F.xxhash64("doc_id").alias("who"))
+    return matching_rows(docs, doc_id, text, {"h": content_key(content(docs[text])), "who": F.xxhash64(docs[doc_id])}, kept)
