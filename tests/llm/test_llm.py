@@ -1,16 +1,20 @@
 """The training-data operators against brute force, round trips and edge cases."""
 
 import hashlib
+import math
 import random
+import re
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tarnbridge.llm import chat_format, components, exact_dedup, hashing, language_id, near_dedup, packing, piece_dropout, quality_classifier, quality_rules, queries, token_counts, token_records
 from tarnbridge.llm.chunk_cache import ByteLevelIds, WordCounts
-from tarnbridge.llm.common import held_out, scratch
+from tarnbridge.llm.common import Workspace, held_out, scratch
 
 SF = "/root/testdata/sf0.001"
 LONG = " ".join(f"w{i}" for i in range(3000))
@@ -75,6 +79,24 @@ def test_quality_sample_counts_documents(spark, monkeypatch):
         assert [sum(y == c for _, y in rows) for c in (0, 1)] == [n, n] and len({bytes(x[0]) for x, _ in rows}) == 2 * n
 
 
+def test_quality_against_plain_convolution():
+    """Each filter at each byte of the whole document by loops, against the chunks."""
+    q = quality_classifier
+    m = {k: v + np.random.default_rng(4).standard_normal(v.shape).astype(np.float32) * 0.3 for k, v in q.initial().items()}
+    texts = ["", "a", "x" * q.CHUNK, "déjà vu " * 80, "".join(chr(97 + i * i % 26) for i in range(3 * q.CHUNK + 7))]
+    for t, got in zip(texts, q.score(m, texts), strict=True):
+        data = t.encode()
+        at = lambda i, d=data: d[i] if i < len(d) else 0
+        pooled = []
+        for begin in range(0, max(1, len(data)), q.CHUNK):
+            best = [max(sum(float(m["filters"][j, at(p + j), k]) for j in range(q.WIDTH)) for p in range(begin, begin + q.CHUNK)) for k in range(q.FILTERS)]
+            pooled.append([math.tanh(b + float(m["bias"][k])) for k, b in enumerate(best)])
+        mean = [sum(c) / len(pooled) for c in zip(*pooled, strict=True)]
+        hidden = [math.tanh(sum(mean[k] * float(m["w"][k, h]) for k in range(q.FILTERS)) + float(m["c"][h])) for h in range(q.HIDDEN)]
+        want = 1 / (1 + math.exp(-(sum(h * float(v) for h, v in zip(hidden, m["v"], strict=True)) + float(m["d"][0]))))
+        assert abs(got - want) < 1e-4
+
+
 def test_bpe_caches_match_library():
     ids, counts = ByteLevelIds(queries.BYTE_BPE), WordCounts(queries.WORD_BPE)
     random.seed(4)
@@ -100,6 +122,9 @@ def test_records(spark, odd, empty):
     assert token_records.unframe(record) == b"\x01\x02"
     with pytest.raises(ValueError):
         token_records.unframe(record[:13] + b"\xff" + record[14:])
+    some = index.filter("doc_id in (1, 5, 8)").orderBy(F.desc("doc_id"))
+    again = token_records.read_token_records(some, folder).collect()
+    assert [(r.doc_id, r.start, r.ids) for r in again] == [(r.doc_id, r.start, r.ids) for r in reversed(rows) if r.doc_id in (1, 5, 8)]
     folder = scratch(spark, "test-records")
     assert token_records.read_token_records(token_records.with_start(token_records.write_token_records(empty, folder, queries.BYTE_BPE)), folder).count() == 0
 
@@ -112,6 +137,10 @@ def test_packing(odd, empty):
     ids = np.frombuffer(b"".join(r.ids for r in long), "<u4")
     assert ids[:-1].tolist() == ByteLevelIds(queries.BYTE_BPE).tok.encode(LONG, add_special_tokens=False).ids and ids[-1] == 1
     assert packing.pack(empty, queries.BYTE_BPE).count() == 0
+    folder = scratch(odd.sparkSession, "test-buckets")
+    packing.write_buckets(packing.pack(odd, queries.BYTE_BPE), folder)
+    read = odd.sparkSession.read.parquet(folder)
+    assert read.count() == len(rows) and read.filter("length = 2048").count() == sum(r.length == 2048 for r in rows)
 
 
 def test_counts(odd, empty):
@@ -155,10 +184,42 @@ def test_language(spark, odd, empty):
     got = {r.doc_id: r.predicted for r in language_id.languages(odd, model, langs).collect()}
     assert [got[i].lang_pred for i in (3, 4, 8)] == ["und"] * 3 and got[5].lang_pred in langs
     assert language_id.languages(empty, model, langs).count() == 0
+    foreign = ["Dzisiaj jest bardzo ładna pogoda i idziemy na plażę ", "bugün hava çok güzel ve arkadaşlarımızla plaja gidiyoruz ", "Сегодня очень хорошая погода и мы идем на пляж ", "今日はとても天気がいいので、友達と海に泳ぎに行きます。"]
+    clean = [r for r in docs.filter("n_chars > 600").collect()]
+    mixed = spark.createDataFrame([(-1 - i, t * 9, None) for i, t in enumerate(foreign)] + [(r.doc_id, r.text, r.lang) for r in clean], "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.language(spark, mixed.withColumn("predicted", F.lit(1)), SF).collect()}
+    assert kept.keys() == {r.doc_id for r in clean} and set(kept.values()) == set(langs)
+    rare = mixed.filter("lang = 'en'").union(spark.createDataFrame([(10**6 + i, t * (i + 3), "pl") for i in range(9) for t in foreign[:1]], "doc_id long, text string, lang string"))
+    assert language_id.fit_languages(rare, rows=20)[1] == ["en", "pl"]
     none, no_langs = language_id.fit_languages(empty.withColumn("lang", F.lit(None).cast("string")))
     assert language_id.languages(odd, none, no_langs).first().predicted.lang_pred == "und"
 
 
+def test_language_against_a_loop_over_bytes():
+    """The gates byte by byte, in both directions, and the mean over the letters."""
+    g = language_id
+    m = g.initial(3, seed=8)
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    texts = ["Straße und Öl", "a" * (g.WINDOW + 5), "1 b", ""]
+    for t, got in zip(texts, g.predict(m, texts), strict=True):
+        data, total, letters = t.lower().encode(), np.zeros(3), 0
+        for begin in range(0, max(1, len(data)), g.WINDOW):
+            window = [data[i] if i < len(data) else 0 for i in range(begin, begin + g.WINDOW)]
+            states = np.zeros((2, g.WINDOW, g.UNITS))
+            for d, order in enumerate((range(g.WINDOW), range(g.WINDOW - 1, -1, -1))):
+                h = np.zeros(g.UNITS)
+                for i in order:
+                    x, u = m["a"][d][window[i]].astype(float), h @ m["u"][d]
+                    z, r = sig(x[: g.UNITS] + u[: g.UNITS]), sig(x[g.UNITS : 2 * g.UNITS] + u[g.UNITS : 2 * g.UNITS])
+                    h = z * h + (1 - z) * np.tanh(x[2 * g.UNITS :] + r * u[2 * g.UNITS :])
+                    states[d, i] = h
+            for i, b in enumerate(window):
+                if 97 <= b <= 122 or b >= 128:
+                    e = np.exp(states[0, i] @ m["v"][0] + states[1, i] @ m["v"][1] + m["c"])
+                    total, letters = total + e / e.sum(), letters + 1
+        assert np.abs(got - total / max(1, letters)).max() < 1e-4
+
+
 def test_backpropagation_through_time():
     rng = np.random.default_rng(0)
     m = {k: v.astype(np.float64) for k, v in language_id.initial(3).items()}
@@ -221,6 +282,42 @@ def test_near_against_all_pairs(spark):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values())) and len(want) > 5
 
 
+def test_near_recall_on_the_sample_table(spark):
+    """All pairs of sf0.01 by plain sets of shingles, against the classes."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, " ".join(re.split(r"[\x20\x09-\x0D]+", (r.text or "").lower())).strip(" ")) for r in docs.collect()]
+    classes = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    idf = near_dedup.inverse_frequencies(near_dedup.document_frequencies(spark.createDataFrame([(t,) for _, t in rows], "norm string")))
+    words, sizes = hashing.word_hashes([t for _, t in rows])
+    vectors = [near_dedup.vector(w, idf) if len(w) else None for w in np.split(words, np.cumsum(sizes)[:-1])]
+    pairs = links = exact = 0
+    for i, a in enumerate(vectors):
+        for j in range(i):
+            b = vectors[j]
+            if a and b and len(np.intersect1d(a[0], b[0])) and near_dedup.similarity(a, b) >= near_dedup.THRESHOLD:
+                pairs += 1
+                exact += rows[i][1] == rows[j][1]
+                links += classes[rows[i][0]] == classes[rows[j][0]]
+    assert pairs > 50 and pairs > exact and links >= 0.9 * pairs
+    every = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs, agree=0).collect()}
+    assert every == classes
+    print("pairs", pairs, "of the same words", exact, "joined", links)
+
+
+CLASH = "doc_id long, text string, lang string, row string, rank int, others string, h string, who long, part int, run long, edge string, norm string, lead string, predicted string, kept string, settled int, at map<string,int>"
+
+
+def test_clashing_columns_and_ties(spark):
+    """Columns named like the operators' own come through; of repeated rows the first in order stays."""
+    base = [(1, "some words here to keep", "x"), (1, "some words  here to keep", "b"), (1, "some words here to keep", "a"), (2, "some words here to keep", "c"), (3, None, "n"), (4, "Some words here to keep", "d"), (None, None, None)]
+    rows = [(i, t, "en", "r", 1, "o", "h", 5, 2, 3, "e", "n", "l", "p", k, 7, {"a": 1}) for i, t, k in base]
+    df = spark.createDataFrame(rows, CLASH)
+    got = exact_dedup.drop_exact(df).collect()
+    assert sorted((r.doc_id, r.kept) for r in got) == [(1, "b"), (3, "n"), (4, "d")] and got[0].asDict().keys() == set(df.columns)
+    got = near_dedup.drop_near(df).collect()
+    assert sorted(((r.doc_id, r.kept) for r in got), key=str) == [(1, "b"), (3, "n"), (None, None)] and got[0].at == {"a": 1}
+
+
 def test_sampling_agrees_like_weighted_jaccard():
     rng = np.random.default_rng(1)
     found = np.sort(hashing.mix(np.arange(400, dtype=np.uint64)))
@@ -232,9 +329,10 @@ def test_sampling_agrees_like_weighted_jaccard():
 
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(20)] + [(100, 101), (7, 3), (101, 101)]
-    got = dict(map(tuple, components.components(spark.createDataFrame(pairs, "a long, b long")).collect()))
+    work = Workspace(spark)
+    got = dict(map(tuple, components.components(work, spark.createDataFrame(pairs, "a long, b long")).collect()))
     assert got == {**dict.fromkeys(range(21), 0), 100: 100, 101: 100}
-    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components.components(work, spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def test_chat(spark):
@@ -248,6 +346,32 @@ def test_chat(spark):
     assert chat_format.format_chat(df.limit(0)).count() == 0
 
 
+def _chats(spark, rows):
+    chats = chat_format.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    read = chats.select("formatted", "loss_spans", chat_format.parse_chat(F.col("formatted")).alias("t"), chat_format.loss_texts(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    return read.first()
+
+
+def test_chat_of_any_length(spark):
+    role = "r\n\\<|" * 25_000
+    assert tuple(_chats(spark, [(1, 0, role, "\\n\n")]).t[0]) == (role, "\\n\n")
+    text = "é<|im_end|>\\\n" * 400_000
+    assert _chats(spark, [(1, 0, "assistant", text)]).loss == [text]
+    took = []
+    for n in (10_000, 20_000):
+        rows = [(1, i, "assistant", f"turn é {i} <s>") for i in range(n)]
+        began = time.time()
+        got = _chats(spark, rows)
+        took.append(time.time() - began)
+        assert got.loss == [r[3] for r in rows] and [t.text for t in got.t] == got.loss
+        assert [chat_format_plain(got.formatted[s.start : s.stop]) for s in got.loss_spans] == got.loss
+    assert took[1] < 3 * took[0] + 3
+
+
+def chat_format_plain(x: str) -> str:
+    return re.sub(r"(?s)\\(.)", r"\1", x)
+
+
 def test_rules(odd, empty):
     got = {r.doc_id: r for r in quality_rules.quality_rules(odd).collect()}
     assert (got[3].n_words, got[3].base_failed, got[3].kept) == (0, True, False) and got[5].n_words == 3000 and got[5].n_repeat_words == 0
@@ -258,29 +382,39 @@ def test_rules(odd, empty):
     assert (r.n_repeat_words, r.n_dup_lines, r.n_symbols, r.word_chars) == (6, 1, 3, 17)
 
 
-def test_rules_reject_long_texts_without_common_words(spark):
-    import corpus_pipeline
+def test_distance_against_the_formula(spark):
+    """The square root of the Jensen-Shannon divergence in bits, by the sum of its terms."""
+    for counts in ((1.0, 0, 3), (0, 0, 0), (5.0, 5, 5), (0, 7.0, 0)):
+        for ref in ((0.2, 0.3, 0.5), (0.0, 1.0, 0.0)):
+            got = spark.range(1).select(quality_rules.distance(F.array(*[F.lit(float(c)) for c in counts]), ref)).first()[0]
+            want = 1.0
+            if sum(counts):
+                p = [c / sum(counts) for c in counts]
+                want = math.sqrt(sum((x * math.log2(2 * x / (x + y)) if x else 0) + (y * math.log2(2 * y / (x + y)) if y else 0) for x, y in zip(p, ref, strict=True)) / 2)
+            assert abs(got - want) < 1e-9
+
 
+def test_rules_reject_long_texts_without_common_words(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     junk = [(-1, " ".join(f"ung{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)), None, None, None)]
     both = docs.select("doc_id", "text", "lang", "source", "n_chars").union(spark.createDataFrame(junk, "doc_id long, text string, lang string, source string, n_chars int"))
-    rules = {r.doc_id: r for r in quality_rules.quality_rules(both).select("doc_id", "lang", "base_failed", "word_distance", "clean").collect()}
-    assert not rules[-1].base_failed and rules[-1].word_distance == 1 and not rules[-1].clean
+    rules = {r.doc_id: r for r in quality_rules.quality_rules(both).select("doc_id", "lang", "base_failed", "word_distance", "kept").collect()}
+    assert not rules[-1].base_failed and rules[-1].word_distance == 1 and not rules[-1].kept
     assert corpus_pipeline.quality(spark, both, SF).filter("doc_id = -1").count() == 0
     good = [rules[r.doc_id] for r in labels.filter("quality = 1").collect() if not rules[r.doc_id].base_failed]
-    assert {r.lang for r in good} == {"en", "fr", "de", "es"} and all(r.clean for r in good)
+    assert {r.lang for r in good} == {"en", "fr", "de", "es"} and all(r.kept for r in good)
 
 
 def test_rules_catch_symbols_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
-    rows = quality_rules.quality_rules(docs).join(labels, "doc_id").filter(held_out() & ~F.col("base_failed")).select("quality", "symbol_distance", "clean").collect()
+    rows = quality_rules.quality_rules(docs).join(labels, "doc_id").filter(held_out() & ~F.col("base_failed")).select("quality", "symbol_distance", "kept").collect()
     junk, good = ([r for r in rows if r.quality == y] for y in (0, 1))
-    assert junk and good and not any(r.clean for r in junk) and all(r.clean for r in good)
+    assert junk and good and not any(r.kept for r in junk) and all(r.kept for r in good)
     assert all(r.symbol_distance > quality_rules.MAX_SYMBOL_DISTANCE for r in junk)
     words = spark.read.parquet(f"{SF}/documents.parquet").filter("lang = 'en' and n_chars > 2000").first().text.split()[:300]
     mixed = " ".join(w + (" |" if i % 2 else "") for i, w in enumerate(words))
     r = quality_rules.quality_rules(spark.createDataFrame([(1, mixed)], "doc_id long, text string")).first()
-    assert r.class_distance < quality_rules.MAX_CLASS_DISTANCE and not r.base_failed and r.kept and not r.clean
+    assert r.class_distance < quality_rules.MAX_CLASS_DISTANCE and not r.base_failed and not r.kept
 
 
 def test_pieces(odd, empty):
@@ -302,9 +436,41 @@ def test_pieces(odd, empty):
         piece_dropout.encode_pieces(odd, queries.PIECES, 2)
 
 
-def test_pipeline(spark):
-    import corpus_pipeline
+def _plain_agenda(model, text: str, key: int, limit: int) -> list[int]:
+    """One word: in each round all candidates are looked at; the best rank is taken, then the leftmost."""
+    left = [(int(model.symbols[ord(c)]), i, i + 1) for i, c in enumerate(text)]
+    while True:
+        best = None
+        for k, (a, b) in enumerate(zip(left, left[1:])):
+            found = model.pairs().get(a[0] * model.size + b[0]) if max(a[0], b[0]) < model.size else None
+            if found and not (limit and piece_dropout.skipped(key, a[1], b[1], b[2], limit)) and (best is None or found[0] < best[0]):
+                best = found[0], k, found[1]
+        if best is None:
+            return [x[0] for x in left]
+        _, k, merged = best
+        left[k : k + 2] = [(merged, left[k][1], left[k + 1][2])]
+
+
+def test_dropout_against_a_plain_agenda():
+    """Both ways, rounds over all words and a heap for a long one, at the same keyed hash."""
+    model, rng = piece_dropout.pieces(queries.PIECES), random.Random(1)
+    words = ["".join(rng.choice("abcdeinorst") for _ in range(n)) for n in (5, 30, 200, piece_dropout.LONG_WORD + 300)] + ["a" * 400]
+    keys = np.arange(len(words)) + 77
+    mixed = hashing.mix(keys.view(np.uint64) ^ hashing.mix(np.array([9], np.uint64)))
+    seen = set()
+    for dropout in (0.0, 0.1, 0.5):
+        got = [x.tolist() for x in piece_dropout.segment(model, words, keys, dropout, 9)]
+        limit = min(int(dropout * 2.0**64), 2**64 - 1)
+        assert got == [_plain_agenda(model, piece_dropout.MARK + w, int(k), limit) for w, k in zip(words, mixed, strict=True)]
+        assert [piece_dropout.decode(model, x) for x in got] == words
+        seen.add(str(got))
+    assert len(seen) == 3
+    began = time.time()
+    piece_dropout.segment(model, ["".join(rng.choice("abcdeinorst") for _ in range(100_000))], keys[:1], 0.1, 0)
+    assert time.time() - began < 20
+
 
+def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     sizes = [docs.count()]
     for _, stage in corpus_pipeline.STAGES[:2]:
@@ -315,5 +481,25 @@ def test_pipeline(spark):
     assert pieces.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m")).filter("n <> m").count() == 0
 
 
+def test_pipeline_stages_against_plain_python(spark, odd, empty):
+    """The kept identifiers of every stage from rules by loops and sets, on a small table; nulls, no rows and clashing columns."""
+    words = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").filter("lang = 'en' and n_chars > 900").orderBy("doc_id").limit(4).collect()]
+    rows = [(0, words[0]), (1, words[0].replace(" ", "  ", 5)), (2, words[0] + " more"), (3, words[1]), (4, words[1].replace("the", "The")), (5, None), (6, "short"), (7, "word " * 200), (8, words[2]), (9, words[2].replace(" ", " | ")), (10, words[3]), (3, words[1])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x", "y") for i, t in rows], "doc_id long, text string, lang string, source string, n_words long, predicted string, kept string")
+    out = corpus_pipeline.quality(spark, docs, SF)
+    assert sorted(r.doc_id for r in out.collect()) == [0, 1, 2, 3, 3, 4, 8, 10] and out.columns == docs.columns and {r.n_words for r in out.collect()} == {1}
+    out = corpus_pipeline.exact(spark, out, SF)
+    assert sorted(r.doc_id for r in out.collect()) == [0, 2, 3, 4, 8, 10] and out.columns == docs.columns
+    out = corpus_pipeline.near(spark, out, SF)
+    assert sorted(r.doc_id for r in out.collect()) == [0, 3, 8, 10] and out.columns == docs.columns
+    pieces = corpus_pipeline.pack(spark, out, SF)
+    tok = ByteLevelIds(queries.BYTE_BPE).tok
+    assert {r.doc_id: r.doc_tokens for r in pieces.collect()} == {i: len(tok.encode(t, add_special_tokens=False).ids) + 1 for i, t in rows if i in (0, 3, 8, 10)}
+    for name, stage in corpus_pipeline.STAGES:
+        none = stage(spark, empty.withColumn("lang", F.lit(None).cast("string")), SF)
+        assert none.count() == 0, name
+        stage(spark, odd.withColumn("lang", F.lit("en")), SF).collect()
+
+
 def test_checksums():
     assert zlib.crc32(b"123456789") == 0xCBF43926
