@@ -9,6 +9,8 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Bytes of input for each range that a sort deals rows into, at most; a size that Spark does not know is given as a very large one.
+RANGE_BYTES, UNKNOWN_BYTES = 128 << 20, 1 << 60
 #: The ASCII white space that separates words.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -79,6 +81,17 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
+def by_range(df: DataFrame, *keys) -> DataFrame:
+    """``df`` dealt into ranges of the keys: as many as the session's shuffle partitions, which adaptive execution may
+    merge, or more where the tables that are read hold more than RANGE_BYTES for each of those."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    wanted = -(-sum(n for n in sizes if n < UNKNOWN_BYTES) // RANGE_BYTES)
+    if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartitionByRange(wanted, *keys)
+    return df.repartitionByRange(*keys)
+
+
 def settled(df: DataFrame, *columns: Column | str) -> DataFrame:
     """``df.select(*columns)``, computed once for a row: a generator keeps later filters and projections from repeating the expressions."""
     return df.select(F.explode(F.array(F.struct(*columns))).alias("settled")).select("settled.*")

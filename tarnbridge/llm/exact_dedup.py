@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import SPACE, Workspace, other_columns, plain
+from .common import SPACE, Workspace, by_range, other_columns, plain
 
 #: Characters of the text that lead the sort order.
 PREFIX = 48
@@ -138,7 +138,7 @@ def _leaders(plain_schema: pa.Schema):
 def _dealt(rows: DataFrame, norm) -> DataFrame:
     """``rows`` (with doc_id) by ranges of the content."""
     rows = rows.withColumns({"lead": F.substring(norm, 1, PREFIX), "hash": F.xxhash64(norm)})
-    return rows.repartitionByRange("lead", "hash", F.col("doc_id").asc_nulls_last())
+    return by_range(rows, "lead", "hash", F.col("doc_id").asc_nulls_last())
 
 
 def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -34,7 +34,7 @@ def pack(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 1,
     gives one piece of one token. ``sequence_id`` has the bucket (binary logarithm of the
     length) in its highest bits, then the partition and a count in it, so it is unique without
     a shuffle; repeated rows get sequences of their own. ``offset`` is 0: a piece fills its
-    sequence. An empty table gives no rows. Other columns are ignored. No shuffle.
+    sequence. Texts of any length are encoded whole. An empty table gives no rows. Other columns are ignored. No shuffle.
     """
     schema, kind = arrow(_PIECES, docs.schema[doc_id].dataType)
     piece_lengths(0, longest)

@@ -123,7 +123,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn_from=None, doc_id: str
 def quality_scores(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, score (0 to 1, higher: better).
 
-    A null text counts as empty and gets the network's value for no bytes. Repeated rows get
+    A null text counts as empty and gets the network's value for no bytes, and one of any length is read whole. Repeated rows get
     equal scores; an empty table gives no rows. Other columns are ignored. No shuffle.
     """
     schema, kind = arrow("doc_id {id}, score double", docs.schema[doc_id].dataType)

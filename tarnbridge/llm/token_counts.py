@@ -108,7 +108,8 @@ def token_counts(docs: DataFrame, tokenizer: str, budget: int = 2048, prefixes:
     to there; ``prefix_tokens`` has the tokens of the prefixes of 0, 1, ... code points, as
     big-endian 32-bit integers, for ``tokens_at``; ``cut_chars`` is the length of the longest prefix of at most ``budget`` tokens.
     A null text counts as empty: no bytes, no tokens. Special strings inside texts are one
-    token each, as the library's default is. Repeated rows are counted each; an empty table
+    token each, as the library's default is. Texts and words may be of any length: the work grows
+    in proportion. Repeated rows are counted each; an empty table
     gives no rows. Other columns are ignored. No shuffle.
     """
     schema, kind = arrow(_COUNTS + _PREFIXES * prefixes, docs.schema[doc_id].dataType)

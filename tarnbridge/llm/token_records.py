@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .batches import arrow, batch, slices
 from .chunk_cache import ByteLevelIds, shared
-from .common import plain
+from .common import by_range, plain
 
 _MASK_DELTA = 0xA282EAD8  # fixed value: what the masking adds
 #: Bytes that a reader takes at a time when records adjoin.
@@ -68,8 +68,8 @@ def write_token_records(docs: DataFrame, folder: str, tokenizer: str, end_id: in
     The index is a Parquet table in ``folder``/index: doc_id, part, file, offset and bytes of
     the record, local_start (ids before it in its file), n_tokens. A null text counts as empty
     and gives a record of ``end_id`` alone. Null identifiers come first; rows with the same
-    identifier are in order of their texts, each with its own record. An empty table gives no
-    file and an empty index. Other columns are ignored.
+    identifier are in order of their texts, each with its own record. Texts of any length are
+    encoded whole. An empty table gives no file and an empty index. Other columns are ignored.
     """
     schema, kind = arrow(_INDEX, docs.schema[doc_id].dataType)
     spark = docs.sparkSession
@@ -96,7 +96,7 @@ def write_token_records(docs: DataFrame, folder: str, tokenizer: str, end_id: in
         if out is not None:
             out.close()
 
-    rows = plain(docs, doc_id, text).repartitionByRange(F.col("doc_id").asc()).sortWithinPartitions("doc_id", "text")
+    rows = by_range(plain(docs, doc_id, text), F.col("doc_id").asc()).sortWithinPartitions("doc_id", "text")
     rows.mapInArrow(write, schema).write.parquet(f"{folder}/index")
     return spark.read.schema(schema).parquet(f"{folder}/index")
 

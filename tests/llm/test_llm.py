@@ -53,6 +53,18 @@ def test_exact_run_over_many_partitions(spark):
     assert sum(r.kept for r in rows) == 1001 and {r.group_size for r in rows} == {1, 2000} and all(r.keep_id == (1 if r.doc_id % 3 else r.doc_id) for r in rows)
 
 
+def test_ranges_follow_the_input(spark, odd, monkeypatch):
+    from tarnbridge.llm import common
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert common.by_range(docs, "doc_id").rdd.getNumPartitions() <= 8
+    monkeypatch.setattr(common, "RANGE_BYTES", 5_000)
+    assert common.by_range(docs, "doc_id").rdd.getNumPartitions() > 8
+    rows = exact_dedup.exact_dedup(docs)
+    assert rows.count() == docs.count() and rows.filter("kept").count() == docs.select(exact_dedup.normalised(F.col("text"))).distinct().count()
+    assert exact_dedup.drop_exact(odd).count() == 6
+
+
 def test_quality(spark, odd, empty):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = quality_classifier.fit_quality(docs, labels, ~held_out())
