@@ -62,14 +62,18 @@ def profile_table(bridge: Bridge, name: str, cores: int | None = None) -> DataFr
 
 
 def index_profile(bridge: Bridge, name: str) -> DataFrame:
-    """A row for each index, or one row that says there is none."""
+    """A row for each index, or one row that says there is none. The selectivity is 1 / the different keys in the data now."""
     alias, _, rest = name.partition(".")
     source = bridge.alias(alias, "index_profile")
     r = source.relation(rest)
     found = indexes_of(r)
     covered = {c for x in found for c in x[1]}
     bare = [f.name for f in source.schema(r).fields if f.name not in covered and isinstance(f.dataType, _FILTERS)]
-    rows = [(n, list(c), u, a, pk, fk, None, ([] if a else [_alert("index_inactive")]) + [_alert("missing_statistics")], bare) for n, c, u, a, _, pk, fk in found]
+    rows = []
+    for index, columns, unique, active, _, pk, fk in found:
+        keys = source.raw(r).select(*columns).distinct().count() if columns else 0
+        alerts = ([] if active else [_alert("index_inactive")]) + ([] if keys else [_alert("missing_statistics")])
+        rows.append((index, list(columns), unique, active, pk, fk, 1 / keys if keys else None, alerts, bare))
     rows = rows or [(None, None, None, None, None, None, None, [_alert("no_indexes_on_table")], bare)]
     return bridge.spark.createDataFrame(rows, f"index_name string, columns array<string>, is_unique boolean, is_active boolean, is_primary_key boolean, is_foreign_key boolean, selectivity double, {_ALERTS}, unindexed_filter_candidates array<string>").orderBy("index_name")
 

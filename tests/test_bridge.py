@@ -247,7 +247,8 @@ def test_metadata_of_fixture(spark, tmp_path):
     assert '"not_null", "unique"' in metadata.dbt_sources(b, "fb").first().yaml
     codes = [a.code for a in diagnostics.profile_table(b, "fb.main.employee").first().alerts]
     assert codes == ["numeric_pk_no_range_serial", "none_charset_text_columns"]
-    assert "index_inactive" in str([x.alerts for x in diagnostics.index_profile(b, "fb.employee").collect()])
+    found = {x.index_name: ([a.code for a in x.alerts], x.selectivity) for x in diagnostics.index_profile(b, "fb.employee").collect()}
+    assert found == {"PK_EMPLOYEE": ([], 1.0), "IDX_OFF": (["index_inactive"], 1.0), "IDX_EXPR": (["missing_statistics"], None)}
     assert b.sql("SELECT note FROM fb_main_employee").first().note == "€"
 
 
