@@ -97,9 +97,14 @@ def settled(df: DataFrame, *columns: Column | str) -> DataFrame:
     return df.select(F.explode(F.array(F.struct(*columns))).alias("settled")).select("settled.*")
 
 
+def every_column(docs: DataFrame, *but: str) -> list[Column]:
+    """The columns of ``docs`` but some, whatever signs their names hold."""
+    return [docs["`" + c.replace("`", "``") + "`"] for c in docs.columns if c not in but]
+
+
 def other_columns(docs: DataFrame, *known: str):
     """The columns of ``docs`` but the known ones, as text to order rows by that are equal in those."""
-    rest = [docs[c] for c in docs.columns if c not in known]
+    rest = every_column(docs, *known)
     return F.to_json(F.struct(*rest)) if rest else F.lit("")
 
 
@@ -109,7 +114,7 @@ def matching_rows(docs: DataFrame, doc_id: str, text: str, who: dict, kept: Data
     Of several rows the first stays in the order of the text and then of the other columns. One
     shuffle of ``docs``; the window reuses it. The rows travel as one struct, so no name can clash.
     """
-    left = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), other_columns(docs, doc_id, text).alias("others"), *[e.alias(k) for k, e in who.items()])
+    left = docs.select(F.struct(*every_column(docs)).alias("row"), other_columns(docs, doc_id, text).alias("others"), *[e.alias(k) for k, e in who.items()])
     found = left.join(kept.select(*who).distinct(), list(who), "left_semi")
     order = Window.partitionBy(*who).orderBy(F.col("row")[text].asc_nulls_first(), "others")
     return found.withColumn("rank", F.row_number().over(order)).filter("rank = 1").select("row.*")

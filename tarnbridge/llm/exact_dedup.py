@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import SPACE, Workspace, by_range, other_columns, plain
+from .common import SPACE, Workspace, by_range, every_column, other_columns, plain
 
 #: Characters of the text that lead the sort order.
 PREFIX = 48
@@ -179,7 +179,7 @@ def drop_exact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """
     row = StructType(docs.schema.fields)
     out = StructType().add("row", row).add("part", "integer").add("run", "long").add("edge", "string")
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc_id].alias("doc_id"), other_columns(docs, doc_id, text).alias("others"))
+    rows = docs.select(F.struct(*every_column(docs)).alias("row"), docs[doc_id].alias("doc_id"), other_columns(docs, doc_id, text).alias("others"))
     rows = _dealt(rows, normalised(F.col("row")[text])).withColumn("norm", normalised(F.col("row")[text]))
     rows = rows.sortWithinPartitions("lead", "hash", "norm", F.col("doc_id").asc_nulls_last(), F.col("row")[text], "others").select("row", "norm")
     # The caller reads this table later, so it stays.

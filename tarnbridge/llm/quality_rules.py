@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, settled
+from .common import SPACE, every_column, settled
 
 #: Character classes, as patterns of runs of them.
 CLASSES = {"lower": "[a-z]+", "upper": "[A-Z]+", "digit": "[0-9]+", "symbol": "[#*$%&|<>]+", "other": r"""[!"'()+,\-./:;=?@\[\\\]\^_`{}~]+""", "beyond": r"[^\x00-\x7F]+"}
@@ -92,7 +92,7 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     gives no rows. Columns of ``docs`` with the names of the results are replaced by them. No shuffle.
     """
     raw = F.coalesce(docs[text], F.lit(""))
-    held = docs.select(F.struct(*[docs[c] for c in docs.columns if c not in RESULTS]).alias("row"), raw.alias("text"))
+    held = docs.select(F.struct(*every_column(docs, *RESULTS)).alias("row"), raw.alias("text"))
     # Most characters are lower-case letters: the other classes are counted in what is left without them.
     step = settled(held, "row", "text", words_of(F.col("text")).alias("words"), _without(F.col("text"), CLASSES["lower"]).alias("rest"))
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))

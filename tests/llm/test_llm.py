@@ -316,13 +316,13 @@ def test_near_recall_on_the_sample_table(spark):
     print("pairs", pairs, "of the same words", exact, "joined", links)
 
 
-CLASH = "doc_id long, text string, lang string, row string, rank int, others string, h string, who long, part int, run long, edge string, norm string, lead string, predicted string, kept string, settled int, at map<string,int>"
+CLASH = "doc_id long, text string, lang string, row string, rank int, others string, h string, who long, part int, run long, edge string, norm string, lead string, predicted string, kept string, settled int, `a.b``c` int, at map<string,int>"
 
 
 def test_clashing_columns_and_ties(spark):
     """Columns named like the operators' own come through; of repeated rows the first in order stays."""
     base = [(1, "some words here to keep", "x"), (1, "some words  here to keep", "b"), (1, "some words here to keep", "a"), (2, "some words here to keep", "c"), (3, None, "n"), (4, "Some words here to keep", "d"), (None, None, None)]
-    rows = [(i, t, "en", "r", 1, "o", "h", 5, 2, 3, "e", "n", "l", "p", k, 7, {"a": 1}) for i, t, k in base]
+    rows = [(i, t, "en", "r", 1, "o", "h", 5, 2, 3, "e", "n", "l", "p", k, 7, 8, {"a": 1}) for i, t, k in base]
     df = spark.createDataFrame(rows, CLASH)
     got = exact_dedup.drop_exact(df).collect()
     assert sorted((r.doc_id, r.kept) for r in got) == [(1, "b"), (3, "n"), (4, "d")] and got[0].asDict().keys() == set(df.columns)
@@ -497,7 +497,7 @@ def test_pipeline_stages_against_plain_python(spark, odd, empty):
     """The kept identifiers of every stage from rules by loops and sets, on a small table; nulls, no rows and clashing columns."""
     words = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").filter("lang = 'en' and n_chars > 900").orderBy("doc_id").limit(4).collect()]
     rows = [(0, words[0]), (1, words[0].replace(" ", "  ", 5)), (2, words[0] + " more"), (3, words[1]), (4, words[1].replace("the", "The")), (5, None), (6, "short"), (7, "word " * 200), (8, words[2]), (9, words[2].replace(" ", " | ")), (10, words[3]), (3, words[1])]
-    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x", "y") for i, t in rows], "doc_id long, text string, lang string, source string, n_words long, predicted string, kept string")
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x", "y") for i, t in rows], "doc_id long, text string, lang string, source string, n_words long, predicted string, `kept.x` string")
     out = corpus_pipeline.quality(spark, docs, SF)
     assert sorted(r.doc_id for r in out.collect()) == [0, 1, 2, 3, 3, 4, 8, 10] and out.columns == docs.columns and {r.n_words for r in out.collect()} == {1}
     out = corpus_pipeline.exact(spark, out, SF)
