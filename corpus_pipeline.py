@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnbridge.llm import exact_dedup, language_id, near_dedup, packing, quality_rules
-from tarnbridge.llm.common import held_out, stored, table
+from tarnbridge.llm.common import every_column, held_out, stored, table
 from tarnbridge.llm.queries import BYTE_BPE
 
 #: A document stays if its language's probability is at least this. Of 1,865 held-out texts of 50 words or more on sf0.1
@@ -34,7 +34,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     whole texts of any length. Columns named like the rules' results come through as they are. No rows give none.
     """
     row = _free("row", docs)
-    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias(row), docs["text"].alias("text"))
+    held = docs.select(F.struct(*every_column(docs)).alias(row), docs["text"].alias("text"))
     return quality_rules.quality_rules(held).filter("kept").select(f"{row}.*")
 
 
