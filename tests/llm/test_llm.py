@@ -8,11 +8,12 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tarnbridge.llm import chat_format, components, exact_dedup, hashing, language_id, near_dedup, packing, piece_dropout, quality_classifier, quality_rules, queries, token_counts, token_records
+from tarnbridge.llm import batches, chat_format, components, exact_dedup, hashing, language_id, near_dedup, packing, piece_dropout, quality_classifier, quality_rules, queries, token_counts, token_records
 from tarnbridge.llm.chunk_cache import ByteLevelIds, WordCounts
 from tarnbridge.llm.common import Workspace, held_out, scratch
 
@@ -339,6 +340,27 @@ def test_sampling_agrees_like_weighted_jaccard():
     assert abs((s.sample(*a) == s.sample(*b)).mean() - near_dedup.similarity(a, b)) < 0.05
 
 
+def test_word_hashes_do_not_depend_on_blocks(monkeypatch):
+    texts = ["", "a bb a", "x" * 700 + " é " + "y" * 300, "bb", " ".join(f"w{i}" for i in range(500))]
+    whole, counts = hashing.word_hashes(texts)
+    monkeypatch.setattr(hashing, "BLOCK", 64)
+    cut, again = hashing.word_hashes(texts)
+    assert (whole == cut).all() and counts.tolist() == again.tolist() == [0, 3, 3, 1, 500]
+    words = [w for t in texts if t for w in t.split(" ")]
+    by_word: dict = {}
+    for w, h in zip(words, whole.tolist(), strict=True):
+        assert by_word.setdefault(w, h) == h
+    assert len(set(by_word.values())) == len(by_word)
+
+
+def test_slices_are_bounded_by_bytes():
+    texts = ["é" * n for n in (1, 300, 10_000, 2, 0, 700, 700, 700, 5)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    parts = list(batches.slices([batch, batch.slice(0, 0)], size=2000))
+    assert [x for ids, _ in parts for x in ids] == list(range(len(texts))) and [t for _, ts in parts for t in ts] == texts
+    assert all(len(ts) == 1 or sum(len(t.encode()) for t in ts) <= 2000 for _, ts in parts) and len(parts) < len(texts)
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(20)] + [(100, 101), (7, 3), (101, 101)]
     work = Workspace(spark)
