@@ -26,7 +26,7 @@ from .hashing import U, mix
 
 MARK = "▁"
 #: Characters that a task segments at a time.
-GROUP_CHARS = 400_000
+GROUP_CHARS = 200_000
 
 #: Longer words get a heap.
 LONG_WORD = 256
@@ -260,8 +260,8 @@ def decode_pieces(encoded: DataFrame, model: str) -> DataFrame:
 
     def run(batches):
         loaded = pieces(model)
-        for b in batches:
-            texts = [None if x is None else decode(loaded, np.frombuffer(x, "<u4").tolist()) for x in b.column(2).to_pylist()]
-            yield batch(kind, text=texts, **dict(zip(b.schema.names, (c.to_pylist() for c in b.columns), strict=True)))
+        for doc_id, n_pieces, ids, sha in slices(batches, text_at=2):
+            texts = [None if x is None else decode(loaded, np.frombuffer(x, "<u4").tolist()) for x in ids]
+            yield batch(kind, doc_id=doc_id, n_pieces=n_pieces, ids=ids, text_sha256=sha, text=texts)
 
     return encoded.select("doc_id", "n_pieces", "ids", "text_sha256").mapInArrow(run, schema)
