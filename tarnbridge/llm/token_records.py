@@ -29,6 +29,8 @@ from .chunk_cache import ByteLevelIds, shared
 from .common import by_range, plain
 
 _MASK_DELTA = 0xA282EAD8  # fixed value: what the masking adds
+#: Bytes of text that a writer encodes at a time: a larger share of words is known already in larger slices.
+SLICE = 2_000_000
 #: Bytes that a reader takes at a time when records adjoin.
 READ_BYTES = 8 << 20
 
@@ -80,7 +82,7 @@ def write_token_records(docs: DataFrame, folder: str, tokenizer: str, end_id: in
         fs, base = file_system(folder)
         name = f"data/part-{part:05d}-{uuid.uuid4().hex}.records"
         out, offset, start = None, 0, 0
-        for ids, texts in slices(batches):
+        for ids, texts in slices(batches, size=SLICE):
             if out is None:
                 fs.create_dir(f"{base}/data", recursive=True)
                 out = fs.open_output_stream(f"{base}/{name}", buffer_size=1 << 20)
