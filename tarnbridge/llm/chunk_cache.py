@@ -8,6 +8,7 @@ gives does not depend on what the dictionary holds.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -16,6 +17,9 @@ import numpy as np
 #: Different words in each of the two generations that a worker keeps: beyond that the older one goes, but for the words used since.
 CACHE_WORDS = 500_000
 
+#: Words that the library encodes as one text.
+GROUP_WORDS = 100
+
 #: Longer words are not kept with the counts of their prefixes.
 LONG_WORD = 64
 
@@ -42,8 +46,9 @@ def specials(path: str) -> list[str]:
 class ByteLevelIds:
     """Token ids of a byte-level vocabulary of at most 65,536 entries, as little-endian 16-bit integers.
 
-    A space between two characters that are not white space begins the token after it,
-    so a text may be cut there: each word is encoded with its leading space.
+    A space between two characters that are not white space begins the token after it, and
+    a line break there is a token by itself, so a text may be cut at both: each word is encoded
+    with the space or the line break before it.
     """
 
     def __init__(self, path: str):
@@ -51,35 +56,45 @@ class ByteLevelIds:
         self.special = specials(path)
         if self.tok.get_vocab_size() > 65_536:
             raise ValueError("ids must fit 16 bits")
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        split = spec["pre_tokenizer"]
+        if spec["normalizer"] or split["type"] != "ByteLevel" or not split["use_regex"] or split["add_prefix_space"] or any(map(str.isspace, "".join(self.special))):
+            raise ValueError("texts of this kind of vocabulary may not be cut at spaces and line breaks")
+        #: Whether an id's bytes begin with a space or a line break: no other id of a word does.
+        self.begins = np.zeros(65_536, bool)
+        self.begins[[i for v, i in self.tok.get_vocab().items() if v[0] in "\u0120\u010a"]] = True
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
+    def _learn(self, new: list[str]) -> None:
+        """Encodes words in groups: those that do not begin with a line break have a space before them."""
+        joined = ["".join([w if w[0] == "\n" else " " + w for w in new[i : i + GROUP_WORDS]]) for i in range(0, len(new), GROUP_WORDS)]
+        ids = np.array([i for e in self.tok.encode_batch_fast(joined, add_special_tokens=False) for i in e.ids], "<u2")
+        starts, payload = (2 * np.flatnonzero(self.begins[ids])).tolist(), ids.tobytes()
+        self.words.update((w, payload[a:b]) for w, a, b in zip(new, starts, [*starts[1:], len(payload)], strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > CACHE_WORDS:
             self.before, self.words = self.words, {}
-        words, before, cut, new = self.words, self.before, [], {}
+        words, before, cut, new = self.words, self.before, [], set()
         for text in texts:
             if not text or _TWO_SPACES.search(text) or text[0].isspace() or text[-1].isspace() or any(s in text for s in self.special):
                 cut.append(None)
                 continue
-            parts = text.split(" ")
+            # The text's own first word is encoded after a line break, whose token is dropped below.
+            parts = ("\n" + text).replace("\n", " \n").split(" ")[1:]
             cut.append(parts)
-            for w in parts[1:]:
-                if w not in words:
-                    if w in before:
-                        words[w] = before[w]
-                    else:
-                        new[w] = None
+            new.update(parts)
+        new = [w for w in new if w not in words]
+        if before:
+            words.update([(w, before[w]) for w in new if w in before])
+            new = [w for w in new if w not in before]
         if new:
-            found = self.tok.encode([" " + w for w in new], is_pretokenized=True, add_special_tokens=False)
-            ids, at = np.array(found.ids, "<u2"), np.array(found.word_ids, np.int64)
-            ends = np.searchsorted(at, np.arange(len(new)), side="right")
-            begin = 0
-            for w, end in zip(new, ends.tolist(), strict=True):
-                words[w] = ids[begin:end].tobytes()
-                begin = end
-        return [self._whole(t) if p is None else self._whole(p[0]) + b"".join([words[w] for w in p[1:]]) for t, p in zip(texts, cut, strict=True)]
+            self._learn(new)
+        found = words.__getitem__
+        return [self._whole(t) if p is None else b"".join(map(found, p))[2:] for t, p in zip(texts, cut, strict=True)]
 
 
 class WordCounts:

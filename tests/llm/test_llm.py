@@ -123,6 +123,20 @@ def test_bpe_caches_match_library():
         assert counts.whole(t[:n]) <= 3 and all(counts.whole(t[:i]) > 3 for i in range(n + 1, len(t) + 1))
 
 
+def test_words_are_encoded_once_across_line_breaks():
+    """Cuts at spaces and line breaks give the library's ids, and words at line ends are kept as such, not with the next line's first."""
+    ids = ByteLevelIds(queries.BYTE_BPE)
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(["ab", "x,", "don't", "'s", "1é", "\u200b"]) + rng.choice(" \n \t") for _ in range(rng.randint(1, 400))).strip() for _ in range(200)]
+    want = [ids._whole(t) for t in texts]
+    assert ids.encode(texts) == want and ids.encode(texts[::-1]) == want[::-1]
+    ids = ByteLevelIds(queries.BYTE_BPE)
+    ids.encode([f"a{chr(10)}b c{chr(10)}d", f"a{chr(10)}d c{chr(10)}b"])
+    assert set(ids.words) == {"\na", "\nb", "c", "\nd"}
+    with pytest.raises(ValueError):
+        ByteLevelIds(queries.WORD_BPE)
+
+
 def test_records(spark, odd, empty):
     folder = scratch(spark, "test-records")
     index = token_records.with_start(token_records.write_token_records(odd, folder, queries.BYTE_BPE))
