@@ -113,17 +113,16 @@ class WordCounts:
             self.pieces = PrefixCounts(self.path, self.tok)
         if len(self.inside) > CACHE_WORDS:
             self.inside_before, self.inside = self.inside, {}
-        inside, before, out = self.inside, self.inside_before, []
-        for w in words:
-            found = inside.get(w)
+        inside, before, out = self.inside, self.inside_before, list(map(self.inside.get, words))
+        for i in [i for i, f in enumerate(out) if f is None]:
+            w = words[i]
+            found = inside.get(w) or before.get(w)
             if found is None:
-                found = before.get(w)
-                if found is None:
-                    found = self.pieces.counts(w)
-                    found = bytes(found) if max(found) < 256 else found
-                if len(w) <= LONG_WORD:
-                    inside[w] = found
-            out.append(found)
+                found = self.pieces.counts(w)
+                found = bytes(found) if max(found) < 256 else found
+            if len(w) <= LONG_WORD:
+                inside[w] = found
+            out[i] = found
         return out
 
     def whole(self, text: str) -> int:

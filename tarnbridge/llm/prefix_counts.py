@@ -20,6 +20,8 @@ from tokenizers import Tokenizer
 
 #: The beginnings of words whose tables are kept: their length, and how many.
 BEGINNING, BEGINNINGS = 6, 300_000
+#: The last bytes of a piece by which its length is bounded.
+TAIL = 4
 #: The runs of letters (or marks) that are kept, their length, and the pairs of pieces.
 RUNS, LONGEST_RUN, AGREEMENTS = 300_000, 32, 500_000
 #: Letters of ASCII and Latin-1, all with one lower-case letter and without a part in a composition that follows, and marks.
@@ -65,6 +67,11 @@ class PrefixCounts:
         self.joins: set[str] | None = None
         either = self.inner.keys() | self.final.keys()
         self.both = {v: (self.inner.get(v, -1), self.final.get(v, -1)) for v in either}
+        #: For the last bytes of pieces, TAIL of them, the longest piece with these.
+        self.reach: dict[str, int] = {}
+        for v in either:
+            if len(v) >= TAIL:
+                self.reach[v[-TAIL:]] = max(self.reach.get(v[-TAIL:], 0), len(v))
         self.agree: dict[int, bool] = {}
         self.runs: dict[str, list[int]] = {}
         self.marks: dict[str, list[int]] = {}
@@ -127,14 +134,16 @@ class PrefixCounts:
 
     def _letters(self, data: str, ends: set[int] | range) -> list[int]:
         """The counts at ``ends`` of one run of letters, spelled in bytes. The tables of short beginnings, which words share, are kept."""
-        both, agree, known, begun, longest = self.both.get, self._agree, self.agree.get, self.begun, self.longest
+        both, agree, known, begun, reach = self.both.get, self._agree, self.agree.get, self.begun, self.reach.get
         last, count, out = [0], [0], []
         for i in range(1, len(data) + 1):
             if i <= BEGINNING and (kept := begun.get(data[:i])) is not None:
                 t, n, total = kept
             else:
                 t = total = -1
-                for j in range(i - longest if i > longest else 0, i):
+                # No longer piece than this ends here.
+                size = reach(data[i - TAIL : i], TAIL - 1) if i >= TAIL else i
+                for j in range(i - size if i > size else 0, i):
                     p = both(data[j:i])
                     if p is None:
                         continue

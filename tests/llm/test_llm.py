@@ -156,6 +156,13 @@ def test_records(spark, odd, empty):
     assert token_records.read_token_records(token_records.with_start(token_records.write_token_records(empty, folder, queries.BYTE_BPE)), folder).count() == 0
 
 
+def test_prefix_counts_try_only_pieces_that_can_end_there():
+    counts = WordCounts(queries.WORD_BPE)
+    assert counts.prefixes(["internationalisation", "Straßenbahn", "a"])[0][-1] == counts.whole("internationalisation")
+    tail = counts.pieces.reach
+    assert tail and all(len(v) < 4 or len(v) <= tail[v[-4:]] for v in counts.pieces.both)
+
+
 def test_packing(odd, empty):
     assert [packing.piece_lengths(n) for n in (1, 5, 2048, 4103)] == [[1], [4, 1], [2048], [2048, 2048, 4, 2, 1]]
     rows = packing.pack(odd, queries.BYTE_BPE).collect()
