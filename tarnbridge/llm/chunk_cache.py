@@ -51,8 +51,8 @@ class ByteLevelIds:
     with the space or the line break before it.
     """
 
-    def __init__(self, path: str):
-        self.tok, self.words, self.before = tokenizer(path), {}, {}
+    def __init__(self, path: str, keep: int = CACHE_WORDS):
+        self.tok, self.words, self.before, self.keep = tokenizer(path), {}, {}, keep
         self.special = specials(path)
         if self.tok.get_vocab_size() > 65_536:
             raise ValueError("ids must fit 16 bits")
@@ -76,7 +76,7 @@ class ByteLevelIds:
         self.words.update((w, payload[a:b]) for w, a, b in zip(new, starts, [*starts[1:], len(payload)], strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > CACHE_WORDS:
+        if len(self.words) > self.keep:
             self.before, self.words = self.words, {}
         words, before, cut, new = self.words, self.before, [], set()
         for text in texts:
@@ -144,8 +144,8 @@ class WordCounts:
         return self.counts
 
 
-def shared(kind, path: str):
-    """One encoder of a kind and file for all tasks of a worker process."""
-    if (kind, path) not in _kept:
-        _kept[kind, path] = kind(path)
-    return _kept[kind, path]
+def shared(kind, path: str, *bounds: int):
+    """One encoder of a kind, file and bounds for all tasks of a worker process."""
+    if (kind, path, *bounds) not in _kept:
+        _kept[kind, path, *bounds] = kind(path, *bounds)
+    return _kept[kind, path, *bounds]

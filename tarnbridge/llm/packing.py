@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .batches import arrow, batch, slices
-from .chunk_cache import ByteLevelIds, shared
+from .chunk_cache import CACHE_WORDS, ByteLevelIds, shared
 from .common import plain
 
 _PIECES = "doc_id {id}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -27,7 +27,7 @@ def piece_lengths(n: int, longest: int = 2048) -> list[int]:
     return [longest] * (n // longest) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def pack(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 1, doc_id: str = "doc_id", text: str = "text", keep_words: int = CACHE_WORDS) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids (unsigned 32-bit little-endian).
 
     A document's tokens are the text's ids and ``end_id``; a null text counts as empty and
@@ -35,12 +35,14 @@ def pack(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 1,
     length) in its highest bits, then the partition and a count in it, so it is unique without
     a shuffle; repeated rows get sequences of their own. ``offset`` is 0: a piece fills its
     sequence. Texts of any length are encoded whole. An empty table gives no rows. Other columns are ignored. No shuffle.
+    ``keep_words`` bounds the different words in each of the two generations that a worker keeps
+    with their ids: fewer take less memory and more time, and change no row.
     """
     schema, kind = arrow(_PIECES, docs.schema[doc_id].dataType)
     piece_lengths(0, longest)
 
     def cut(batches):
-        encoder, part, number = shared(ByteLevelIds, tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, number = shared(ByteLevelIds, tokenizer, keep_words), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u2").tobytes()
         for ids, texts in slices(batches):
             rows: dict[str, list] = {n: [] for n in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "ids")}

@@ -574,5 +574,34 @@ def test_pipeline_stages_against_plain_python(spark, odd, empty):
         stage(spark, odd.withColumn("lang", F.lit("en")), SF).collect()
 
 
+def test_pipeline_bounds_what_python_holds(spark, odd):
+    """Its tasks get batches of bounded bytes and keep a bounded number of words; what they return does not hang on either."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.createDataFrame([(i, f"w{i} " * 10_000) for i in range(500)], "doc_id long, text string").coalesce(1)
+
+    def measure(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"size": [b.nbytes]})
+
+    try:
+        for stage in (corpus_pipeline.language, corpus_pipeline.near, corpus_pipeline.pack):
+            spark.conf.unset(bound)
+            stage(spark, odd.withColumn("lang", F.lit("en")), SF)
+            assert docs.mapInArrow(measure, "size long").agg(F.max("size")).head()[0] <= 1.1 * corpus_pipeline.BATCH_BYTES
+        spark.conf.set(bound, "1m")
+        corpus_pipeline.pack(spark, odd, SF)
+        assert spark.conf.get(bound) == "1m"
+    finally:
+        spark.conf.unset(bound)
+    few, all_ = ByteLevelIds(queries.BYTE_BPE, 50), ByteLevelIds(queries.BYTE_BPE)
+    for i in range(100):
+        texts = [" ".join(f"v{j}" for j in range(i, i + 40))]
+        assert few.encode(texts) == all_.encode(texts)
+        assert len(few.words) + len(few.before) <= 2 * (50 + 40)
+    assert len(all_.words) > 130
+    columns = ("doc_id", "start", "length", "doc_tokens", "ids")
+    assert sorted(map(str, packing.pack(odd, queries.BYTE_BPE, keep_words=3).select(*columns).collect())) == sorted(map(str, packing.pack(odd, queries.BYTE_BPE).select(*columns).collect()))
+
+
 def test_checksums():
     assert zlib.crc32(b"123456789") == 0xCBF43926
